@@ -1,0 +1,2 @@
+"""Deliberately empty: every feed of this system is a bounded table, so there is
+no watermark, stateful operator or streaming query to provide."""
