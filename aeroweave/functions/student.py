@@ -7,6 +7,7 @@ from math import erfc, lgamma, log, sqrt
 import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 _MAX_STEPS = 10_000
 _TINY = 1e-300
@@ -58,6 +59,6 @@ def pearson_p_value(r: float, n: float) -> float:
     return float(1.0 - np.exp(front) * _beta_fraction(0.5, a, r * r) / 0.5)
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def student_t_p_value(r: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([pearson_p_value(ri, ni) for ri, ni in zip(r, n)], dtype="float64")

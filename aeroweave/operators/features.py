@@ -22,7 +22,7 @@ INDEX_QUANTILE = 0.95
 HIGH_QUANTILE = 0.75
 
 
-def tag_holidays(df: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+def tag_holidays(df: DataFrame, holidays: DataFrame | None = None, ts: str = "datetime") -> DataFrame:
     """Add ``is_holiday`` (0/1) and ``holiday_name`` (empty on other days) by date.
 
     The built-in calendar has nine rows a year; a caller's own is broadcast only if small.
@@ -35,7 +35,7 @@ def tag_holidays(df: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
         days = broadcast_if_small(days.groupBy("_day").agg(F.min("_holiday").alias("_holiday")))
     else:
         days = F.broadcast(days)
-    tagged = df.drop("is_holiday", "holiday_name").join(days, F.to_date("datetime") == F.col("_day"), "left")
+    tagged = df.drop("is_holiday", "holiday_name").join(days, F.to_date(ts) == F.col("_day"), "left")
     return tagged.withColumns({
         "is_holiday": F.col("_day").isNotNull().cast("int"),
         "holiday_name": F.coalesce("_holiday", F.lit("")),
@@ -49,15 +49,18 @@ def tag_traffic_holidays(df: DataFrame) -> DataFrame:
     )
 
 
-def transform_categories(df: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
-    """Day type, season, weather and traffic categories, rush hour, holiday flag."""
-    if "datetime" not in df.columns:
+def transform_categories(df: DataFrame, holidays: DataFrame | None = None, ts: str = "datetime") -> DataFrame:
+    """Day type, season, weather and traffic categories, rush hour, holiday flag.
+
+    ``ts`` names the clock they follow; an ``hour`` column that is there already is kept.
+    """
+    if ts == "datetime" and ts not in df.columns:
         df = ensure_datetime(df)
-    ts = F.col("datetime")
+    clock = F.col(ts)
     df = df.withColumns({
-        "day_of_week": calendar.day_of_week(ts),
-        "month": F.month(ts),
-        "hour": F.col("hour") if "hour" in df.columns else F.hour(ts),
+        "day_of_week": calendar.day_of_week(clock),
+        "month": F.month(clock),
+        "hour": F.col("hour") if "hour" in df.columns else F.hour(clock),
     })
     weekend = calendar.is_weekend(F.col("day_of_week"))
     added = {
@@ -75,7 +78,7 @@ def transform_categories(df: DataFrame, holidays: DataFrame | None = None) -> Da
     tagged = df.withColumns(added)
     if own_name:
         tagged = tagged.withColumnRenamed("holiday_name", "_own_name")
-    tagged = tag_holidays(tagged, holidays).drop("holiday_name")
+    tagged = tag_holidays(tagged, holidays, ts).drop("holiday_name")
     return tagged.withColumnRenamed("_own_name", "holiday_name") if own_name else tagged
 
 
@@ -95,11 +98,11 @@ def gold_features(df: DataFrame) -> DataFrame:
     return df.withColumns(added)
 
 
-def time_features(df: DataFrame) -> DataFrame:
+def time_features(df: DataFrame, ts: str = "datetime") -> DataFrame:
     """Calendar parts and their cyclical encodings."""
-    if "datetime" not in df.columns:
-        raise ValueError("datetime column required")
-    parts = df.withColumns(calendar.calendar_parts(F.col("datetime")))
+    if ts not in df.columns:
+        raise ValueError(f"{ts} column required")
+    parts = df.withColumns(calendar.calendar_parts(F.col(ts)))
     return parts.withColumns(
         calendar.cyclical_encoding(F.col("hour"), F.col("day_of_week"), F.col("month"))
     )
@@ -184,17 +187,20 @@ def pollution_features(df: DataFrame) -> DataFrame:
     return result.withColumns(added) if added else result
 
 
-def all_features(df: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
+def all_features(df: DataFrame, target_rows: int = TARGET_ROWS, ts: str = "datetime") -> DataFrame:
     """Time, weather, pollution and lag features of a merged table.
 
     Pressure tendency and lags share one pass over the ordered rows.
     """
-    featured = pollution_features(weather_features(time_features(df)))
+    featured = pollution_features(weather_features(time_features(df, ts)))
     return pressure_and_lags(featured, LAG_COLUMNS, PIPELINE_LAGS, target_rows=target_rows)
 
 
-def final_dataset(df: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
-    """Rolling means, interaction terms and all features: the table reports are made from."""
+def final_dataset(df: DataFrame, target_rows: int = TARGET_ROWS, ts: str = "datetime") -> DataFrame:
+    """Rolling means, interaction terms and all features: the table reports are made from.
+
+    ``ts`` names the clock of the calendar features; order always follows ``datetime``.
+    """
     density = measure_density(df, ("city_key",), "datetime")
     pollutants = [c for c in INDEX_POLLUTANTS if c in df.columns]
     rolled = df
@@ -202,5 +208,5 @@ def final_dataset(df: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
         rolled = rolling_mean(
             df, [*pollutants, "temperature", "traffic_index"], target_rows=target_rows, density=density
         )
-    featured = pollution_features(weather_features(time_features(interaction_terms(rolled))))
+    featured = pollution_features(weather_features(time_features(interaction_terms(rolled), ts)))
     return pressure_and_lags(featured, LAG_COLUMNS, PIPELINE_LAGS, target_rows=target_rows, density=density)

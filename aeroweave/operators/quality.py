@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroweave.dims import UNIT_RANGES, dim_description, dim_units
+from aeroweave.dims import UNIT_RANGES, dim_description
 from aeroweave.dims.descriptions import NO_DESCRIPTION
 from aeroweave.functions.calendar import hour_floor, seconds_between
 from aeroweave.operators.aggregates import completeness, date_range, distinct_cities, null_counts, records_per_city
@@ -61,13 +60,20 @@ def validate_gold(df: DataFrame, expected_hours: int | None = None) -> DataFrame
     ])
 
 
+def _with_known(df: DataFrame, rows: list[tuple], names: tuple[str, ...], column: str) -> DataFrame:
+    """A fixed list of rows about columns, with the number of known values of each column."""
+    counted = df.agg(*[F.count(c).alias(c) for c in dict.fromkeys(r[names.index(column)] for r in rows)])
+    listed = F.array(*[
+        F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)], F.col(r[names.index(column)]).alias("known"))
+        for r in rows
+    ])
+    return counted.select(F.explode(listed).alias("_r")).select("_r.*")
+
+
 def column_groups(df: DataFrame) -> DataFrame:
-    """category, column, present-ness decided by the schema alone."""
-    pairs = [(g, c) for g, cols in COLUMN_GROUPS.items() for c in cols if c in df.columns]
-    return df.sparkSession.createDataFrame(pa.table({
-        "category": pa.array([g for g, _ in pairs], pa.string()),
-        "column": pa.array([c for _, c in pairs], pa.string()),
-    }))
+    """category, column, known for the columns the table has."""
+    rows = [(g, c) for g, cols in COLUMN_GROUPS.items() for c in cols if c in df.columns]
+    return _with_known(df, rows, ("category", "column"), "column")
 
 
 def describe_columns(columns: DataFrame, descriptions: DataFrame | None = None) -> DataFrame:
@@ -118,8 +124,9 @@ def data_dictionary(df: DataFrame, descriptions: DataFrame | None = None) -> Dat
 
 
 def units_reference(df: DataFrame) -> DataFrame:
-    """Expected unit and range of the measures the table has."""
-    return dim_units(df.sparkSession).filter(F.col("measure").isin(*df.columns))
+    """measure, unit, lo, hi, known for the measures the table has."""
+    rows = [r for r in UNIT_RANGES if r[0] in df.columns]
+    return _with_known(df, rows, ("measure", "unit", "lo", "hi"), "measure")
 
 
 def range_validation(df: DataFrame, ranges=UNIT_RANGES, by=()) -> DataFrame:

@@ -15,6 +15,7 @@ from aeroweave.operators.units import standardize_units
 from aeroweave.session import prepare
 from aeroweave.sources.writers import save_dual
 
+LOCAL = "local_datetime"
 FEEDS = ("weather", "air_quality", "traffic")
 
 
@@ -41,15 +42,16 @@ def build_gold(silver: dict[str, DataFrame], folder: str | None = None) -> DataF
 
 
 def transform_feed(df: DataFrame, feed: str) -> DataFrame:
-    """Standard units, hourly grid per city, categories; local time is added, not substituted.
+    """Standard units, hourly grid per city, and categories by local calendar.
 
-    The local hour repeats once a year, so tables stay keyed by UTC.
+    Rows stay keyed by UTC because the local hour repeats once a year.
     """
-    hourly = transform_categories(to_hourly(standardize_units(df, feed)))
-    return hourly.withColumn("local_datetime", to_local_time(F.col("datetime")))
+    hourly = to_hourly(standardize_units(df, feed)).withColumn(LOCAL, to_local_time(F.col("datetime")))
+    return transform_categories(hourly, ts=LOCAL).drop(LOCAL)
 
 
 def build_final(silver: dict[str, DataFrame], how: str = "outer") -> DataFrame:
-    """Transform and merge the feeds and engineer every feature."""
+    """Transform and merge the feeds and engineer every feature; calendar features are local."""
     merged = merge_feeds(*(transform_feed(silver[n], n) for n in FEEDS), how=how)
-    return final_dataset(merged)
+    local = merged.withColumn(LOCAL, to_local_time(F.col("datetime")))
+    return final_dataset(local, ts=LOCAL)

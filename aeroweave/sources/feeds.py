@@ -67,7 +67,8 @@ def import_station_csv(df: DataFrame, city_key: str, cities=CITIES) -> DataFrame
         raise KeyError(f"unknown city key: {city_key}")
     present = [F.col(f"`{h}`") for h in VALUE_HEADERS if h in df.columns]
     if present:
-        df = df.withColumn("value", F.coalesce(*present)).drop(*VALUE_HEADERS)
+        # column names ignore case, so the old headers have to go before "value" can come
+        df = df.withColumn("_value", F.coalesce(*present)).drop(*VALUE_HEADERS).withColumnRenamed("_value", "value")
     named = df.withColumnsRenamed({k: v for k, v in STATION_CSV_NAMES.items() if k in df.columns})
     placed = named.withColumns({"city": F.lit(city.name), "city_key": F.lit(city_key)})
     if "datetime" not in placed.columns:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,18 +36,27 @@ def load(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def latest_path(spark: SparkSession, folder: str, pattern: str = "*") -> str | None:
-    """Path of the newest matching file, or None. Only file names and times are listed."""
-    listing = (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-        .select("path", "modificationTime")
-    )
+    """Path of the newest matching snapshot, a file or a folder of files, or None.
+
+    Only names and times are listed, nothing is read.
+    """
+    folder = folder.rstrip("/")
+    listing = spark.read.format("binaryFile").load(f"{folder}/{pattern}").select("path", "modificationTime")
     newest = listing.agg(F.max(F.struct("modificationTime", "path")).alias("file")).first()["file"]
-    return newest["path"] if newest else None
+    if newest is None:
+        return None
+    below = newest["path"].split(folder.split(":", 1)[-1].lstrip("/") + "/", 1)[1]
+    return f"{folder}/{below.split('/', 1)[0]}"
 
 
 def latest(spark: SparkSession, folder: str, pattern: str = "*", schema=None) -> DataFrame:
     """Read only the newest file that matches a pattern."""
-    path = latest_path(spark, folder, pattern)
+    try:
+        path = latest_path(spark, folder, pattern)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        path = None
     if path is None:
         raise FileNotFoundError(f"no file in {folder} matches {pattern}")
     return load(spark, path, schema)
@@ -57,8 +67,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("binaryFile").load(path)
         return True
-    except Exception as missing:
-        if "PATH_NOT_FOUND" in str(missing):
+    except AnalysisException as missing:
+        if missing.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 

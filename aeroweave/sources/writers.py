@@ -8,12 +8,17 @@ from aeroweave.operators.schema import objects_to_string
 
 WRITABLE = ("parquet", "csv", "json")
 
+# text formats keep only milliseconds unless told otherwise
+TEXT_TIMES = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
 
 def save(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write one format, named explicitly."""
     if fmt not in WRITABLE:
         raise ValueError(f"unsupported format: {fmt}")
     writer = df.write.mode(mode).format(fmt)
+    if fmt != "parquet":
+        writer = writer.option("timestampNTZFormat", TEXT_TIMES)
     (writer.option("header", True) if fmt == "csv" else writer).save(path)
 
 
