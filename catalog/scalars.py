@@ -189,9 +189,9 @@ ENTRIES: dict[str, Entry] = {
         _readings(lambda: dict(mean=numeric.row_mean([F.col("no2"), F.col("pm25"), F.col("temperature")]))),
         f"select event_id, {mean_of('no2', 'pm25', 'temperature')} as mean from readings", "readings", doubles="mean"),
     "clip_range": entry(
-        _readings(lambda: dict(both=numeric.clip_range(F.col("temperature"), 0, 50), low=numeric.clip_range(F.col("steps"), 5))),
-        f"select event_id, {clip('temperature', 0, 50)} as both, {clip('steps', 5)} as low from readings",
-        "readings", doubles="both low"),
+        _readings(lambda: dict(clamped=numeric.clip_range(F.col("temperature"), 0, 50), raised=numeric.clip_range(F.col("steps"), 5))),
+        f"select event_id, {clip('temperature', 0, 50)} as clamped, {clip("steps", 5)} as raised from readings",
+        "readings", doubles="clamped raised"),
     "round_to": entry(
         _readings(lambda: dict(one=numeric.round_to(F.col("wind_speed") + 0.013, 1),
                   three=numeric.round_to(F.col("no2") / 7, 3))),
