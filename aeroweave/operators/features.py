@@ -192,8 +192,10 @@ def all_features(df: DataFrame, target_rows: int = TARGET_ROWS, ts: str = "datet
 
     Pressure tendency and lags share one pass over the ordered rows.
     """
+    # measured on the input: behind the features it would compute their quantiles as well
+    density = measure_density(df, ("city_key",), "datetime")
     featured = pollution_features(weather_features(time_features(df, ts)))
-    return pressure_and_lags(featured, LAG_COLUMNS, PIPELINE_LAGS, target_rows=target_rows)
+    return pressure_and_lags(featured, LAG_COLUMNS, PIPELINE_LAGS, target_rows=target_rows, density=density)
 
 
 def final_dataset(df: DataFrame, target_rows: int = TARGET_ROWS, ts: str = "datetime") -> DataFrame:

@@ -102,7 +102,9 @@ def fill_and_keep_first(
         known = F.when(F.col(c).isNotNull(), position)
         aggs += [F.min_by(c, known).alias(f"_first_{c}"), F.max_by(c, known).alias(f"_last_{c}")]
     instants = rows.groupBy(*keys, ts).agg(*aggs)
-    density = measure_density(rows.select(*keys, ts).distinct(), keys, ts)
+    density = measure_density(rows, keys, ts)
+    if density.rows_in_hottest_hour > target_rows:  # copies of one instant may be all there is to it
+        density = measure_density(rows.select(*keys, ts).distinct(), keys, ts)
     chunked = in_chunks(instants, keys, (ts,), target_rows, density)
     columns = {c: (c, f"_last_{c}", f"_first_{c}") for c in fill_cols}
     return _along_time(chunked, keys, (ts,), columns).select(*rows.columns)

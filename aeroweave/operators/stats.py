@@ -31,40 +31,31 @@ SCATTER_PAIRS = (*TESTED_PAIRS, ("traffic_index", "o3"))
 SIGNIFICANCE = ((0.001, "***"), (0.01, "**"), (0.05, "*"))
 
 
-def _pair_moments(x: str, y: str, tag: str) -> list[Column]:
-    """n, variances and covariance over the rows where both are known."""
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    fx, fy = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
-    return [
-        F.count_if(both).alias(f"n{tag}"),
-        F.var_pop(fx).alias(f"vx{tag}"),
-        F.var_pop(fy).alias(f"vy{tag}"),
-        F.covar_pop(fx, fy).alias(f"cv{tag}"),
-    ]
-
-
 def pair_correlations(df: DataFrame, pairs, by=()) -> DataFrame:
     """x, y, r, n for every pair, per group; r is null where a side does not vary.
 
-    All pairs share one aggregation, so the table is read once and only one row per group
-    and task is shuffled.
+    Each row contributes one value pair per requested pair of columns, and these are summed
+    up inside the task that read them: what is shuffled is one row per pair, group and task.
+    A few narrow aggregates over many pairs compile to tight code; hundreds of wide ones
+    would not.
     """
     pairs, by = list(pairs), list(by)
-    aggs = [m for i, (x, y) in enumerate(pairs) for m in _pair_moments(x, y, f"_{i}")]
-    moments = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
-
-    def r(i: int) -> Column:
-        spread = F.sqrt(F.col(f"vx_{i}")) * F.sqrt(F.col(f"vy_{i}"))
-        raw = F.try_divide(F.col(f"cv_{i}"), spread)
-        return F.when(raw > 1, 1.0).when(raw < -1, -1.0).otherwise(raw)
-
-    rows = F.array(*[
+    cells = F.array(*[
         F.struct(
-            F.lit(x).alias("x"), F.lit(y).alias("y"), r(i).alias("r"), F.col(f"n_{i}").alias("n")
+            F.lit(i).alias("_i"),
+            F.when(F.col(y).isNotNull(), F.col(x).cast("double")).alias("vx"),
+            F.when(F.col(x).isNotNull(), F.col(y).cast("double")).alias("vy"),
         )
         for i, (x, y) in enumerate(pairs)
     ])
-    return moments.select(*by, F.explode(rows).alias("_p")).select(*by, "_p.*")
+    moments = df.select(*by, F.explode(cells).alias("_c")).select(*by, "_c.*").groupBy(*by, "_i").agg(
+        F.count("vx").alias("n"), F.var_pop("vx").alias("_sx"), F.var_pop("vy").alias("_sy"),
+        F.covar_pop("vx", "vy").alias("_sxy"),
+    )
+    raw = F.try_divide(F.col("_sxy"), F.sqrt("_sx") * F.sqrt("_sy"))
+    r = F.when(raw > 1, 1.0).when(raw < -1, -1.0).otherwise(raw)
+    names = [F.array(*[F.lit(pair[side]) for pair in pairs])[F.col("_i")].alias("xy"[side]) for side in (0, 1)]
+    return moments.select(*by, *names, r.alias("r"), "n")
 
 
 def correlation_matrix(df: DataFrame, cols=STUDY_COLUMNS, by=()) -> DataFrame:

@@ -27,10 +27,10 @@ def flatten_stations(df: DataFrame, payload: str = "payload") -> DataFrame:
     return full.select("station_id", *[F.col("_slots")[i].alias(n) for i, n in enumerate(STATION_SLOTS, start=1)])
 
 
-def _component_value(items: Column, component: Column) -> Column:
-    """Second slot of the first item whose first slot is the component."""
-    matching = F.filter(items, lambda item: (F.size(item) >= 2) & (F.get(item, F.lit(0)) == component))
-    return F.get(F.get(matching, F.lit(0)), F.lit(1))
+def _component_id(item: Column) -> Column:
+    """Number a component item starts with, as text; null for anything but a list of two or more."""
+    is_list = item.startswith("[") & item.contains(",")
+    return F.when(is_list, F.trim(F.substring_index(F.substring(item, 2, 40), ",", 1)))
 
 
 def flatten_measurements(df: DataFrame, payload: str = "payload", components=tuple(COMPONENT_IDS)) -> DataFrame:
@@ -42,19 +42,19 @@ def flatten_measurements(df: DataFrame, payload: str = "payload", components=tup
     """
     stations = df.select(F.explode(F.from_json(payload, _MEASUREMENTS)["data"]).alias("station_id", "_times"))
     entries = stations.select("station_id", F.explode("_times").alias("_start", "_slots"))
-    items = F.transform(
-        F.slice("_slots", F.lit(FIRST_COMPONENT_SLOT), F.size("_slots") - F.lit(FIRST_COMPONENT_SLOT - 1)),
-        lambda text: F.from_json(text, "array<string>"),
+    items = F.slice("_slots", F.lit(FIRST_COMPONENT_SLOT), F.size("_slots") - F.lit(FIRST_COMPONENT_SLOT - 1))
+    listed = entries.filter(F.size("_slots") >= FIRST_COMPONENT_SLOT).select(
+        "station_id", "_start", F.col("_slots")[0].alias("_end"), items.alias("_items")
     )
+    ids = F.transform("_items", _component_id)
     wanted = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(str(COMPONENT_IDS[name])).alias("id")) for name in components
+        F.struct(F.lit(name).alias("name"), F.array_position(ids, F.lit(str(COMPONENT_IDS[name]))).alias("at"))
+        for name in components
     ])
-    rows = (
-        entries.filter(F.size("_slots") >= FIRST_COMPONENT_SLOT)
-        .select("station_id", "_start", F.col("_slots")[0].alias("_end"), items.alias("_items"), F.explode(wanted).alias("_c"))
-        .withColumn("_value", _component_value(F.col("_items"), F.col("_c.id")))
-        .filter(F.col("_value").isNotNull())
-    )
+    found = listed.select("*", F.explode(F.filter(wanted, lambda c: c["at"] > 0)).alias("_c"))
+    # only the items that are wanted are parsed
+    item = F.from_json(F.get("_items", F.col("_c.at").cast("int") - 1), "array<string>")
+    rows = found.withColumn("_value", F.get(item, F.lit(1))).filter(F.col("_value").isNotNull())
     return rows.select(
         "station_id",
         F.col("_start").try_cast("timestamp_ntz").alias("datetime"),

@@ -160,9 +160,20 @@ class Tables:
         return self.feed("bronze_weather"), self.feed("bronze_air"), self.feed("bronze_traffic")
 
     @cached_property
+    def silver_weather(self) -> DataFrame:
+        return clean.clean_weather(self.feed("bronze_weather"))
+
+    @cached_property
+    def silver_air(self) -> DataFrame:
+        return clean.clean_air_quality(self.feed("bronze_air"))
+
+    @cached_property
+    def silver_traffic(self) -> DataFrame:
+        return clean.clean_traffic(self.feed("bronze_traffic"))
+
+    @property
     def silver(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        weather, air, traffic = self.bronze
-        return clean.clean_weather(weather), clean.clean_air_quality(air), clean.clean_traffic(traffic)
+        return self.silver_weather, self.silver_air, self.silver_traffic
 
     @cached_property
     def gold(self) -> DataFrame:

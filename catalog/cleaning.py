@@ -139,10 +139,10 @@ ENTRIES: dict[str, Entry] = {
         """select _seq, coalesce(no2, lag(no2) over w) as no2, coalesce(pm10, lag(pm10) over w) as pm10
         from bronze_air window w as (partition by city_key order by datetime, _seq)""",
         "bronze_air", doubles="no2 pm10"),
-    "clean_weather": entry(lambda t: t.silver[0], "select * from silver_weather", "silver_weather",
+    "clean_weather": entry(lambda t: t.silver_weather, "select * from silver_weather", "silver_weather",
                            doubles=SILVER_WEATHER),
-    "clean_air_quality": entry(lambda t: t.silver[1], "select * from silver_air", "silver_air", doubles=SILVER_AIR),
-    "clean_traffic": entry(lambda t: t.silver[2], "select * from silver_traffic", "silver_traffic",
+    "clean_air_quality": entry(lambda t: t.silver_air, "select * from silver_air", "silver_air", doubles=SILVER_AIR),
+    "clean_traffic": entry(lambda t: t.silver_traffic, "select * from silver_traffic", "silver_traffic",
                            doubles=SILVER_TRAFFIC),
     "clean_metrics": entry(
         lambda t: merge.union_feeds([

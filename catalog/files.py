@@ -67,7 +67,7 @@ def _load_feeds(t) -> DataFrame:
 
 def _dual(t) -> DataFrame:
     base = f"{_folder(t)}/silver"
-    silver = t.silver[2].select("city_key", "datetime", "date", "hour", "traffic_index", "holiday_name")
+    silver = t.silver_traffic.select("city_key", "datetime", "date", "hour", "traffic_index", "holiday_name")
     writers.save_dual(merge.sort_city_time(silver), base)
     parquet = readers.scan_parquet(t.spark, f"{base}.parquet").withColumn("copy", F.lit("parquet"))
     kinds = ", ".join(f"{c} {kind}" for c, kind in parquet.drop("copy").dtypes)

@@ -180,7 +180,7 @@ ENTRIES: dict[str, Entry] = {
         """select city_key, datetime, pressure, pressure - lag(pressure) over w as pressure_change from hourly
         window w as (partition by city_key order by datetime)""", "hourly", doubles="pressure pressure_change"),
     "pressure_change_rate": entry(
-        lambda t: lags.pressure_change(t.silver[0].select("city_key", "datetime", "pressure")),
+        lambda t: lags.pressure_change(t.silver_weather.select("city_key", "datetime", "pressure")),
         """select city_key, datetime, pressure, pressure - lag(pressure) over w as pressure_change,
             (pressure - lag(pressure) over w) / nullif(epoch(datetime) - epoch(lag(datetime) over w), 0) * 3600
                 as pressure_change_rate
