@@ -122,9 +122,14 @@ def common_dates(weather: DataFrame, air: DataFrame, traffic: DataFrame) -> Data
     return _shared(dated, "date")
 
 
-def align_cities(weather: DataFrame, air: DataFrame, traffic: DataFrame) -> tuple[DataFrame, ...]:
-    """The three feeds reduced to the cities they share."""
-    shared = broadcast_if_small(common_cities(weather, air, traffic))
+def align_cities(
+    weather: DataFrame, air: DataFrame, traffic: DataFrame, shared: DataFrame | None = None
+) -> tuple[DataFrame, ...]:
+    """The three feeds reduced to the cities they share.
+
+    ``shared`` passes the cities in when they are known from somewhere cheaper to read.
+    """
+    shared = broadcast_if_small(common_cities(weather, air, traffic) if shared is None else shared)
     return tuple(f.join(shared, "city_key", "left_semi") for f in (weather, air, traffic))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aeroweave.functions import calendar
 from aeroweave.functions.air import aqi_avg
 from aeroweave.functions.numeric import clip_range, outside
-from aeroweave.operators.cities import align_cities
+from aeroweave.operators.cities import align_cities, common_cities
 from aeroweave.operators.fills import fill_and_keep_first
 from aeroweave.operators.schema import SEQ, cast_feed, drop_sparse_columns, fill_zero, with_seq
 from aeroweave.plans.chunks import TARGET_ROWS
@@ -139,8 +139,12 @@ CLEANERS = {"weather": clean_weather, "air_quality": clean_air_quality, "traffic
 
 
 def clean_all(weather: DataFrame, air: DataFrame, traffic: DataFrame) -> tuple[DataFrame, ...]:
-    """Clean the three feeds and keep the cities they share."""
-    return align_cities(clean_weather(weather), clean_air_quality(air), clean_traffic(traffic))
+    """Clean the three feeds and keep the cities they share.
+
+    Cleaning never loses a city, so the shared ones are looked up in the raw feeds.
+    """
+    cleaned = clean_weather(weather), clean_air_quality(air), clean_traffic(traffic)
+    return align_cities(*cleaned, shared=common_cities(weather, air, traffic))
 
 
 def _sum(parts: list[Column]) -> Column:

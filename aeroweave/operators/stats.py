@@ -51,8 +51,10 @@ def pair_correlations(df: DataFrame, pairs, by=()) -> DataFrame:
     moments = df.select(*by, F.explode(cells).alias("_c")).select(*by, "_c.*").groupBy(*by, "_i").agg(
         F.count("vx").alias("n"), F.var_pop("vx").alias("_sx"), F.var_pop("vy").alias("_sy"),
         F.covar_pop("vx", "vy").alias("_sxy"),
+        # merged partial variances of a constant can end up a hair above zero, its extremes cannot
+        ((F.min("vx") < F.max("vx")) & (F.min("vy") < F.max("vy"))).alias("_varies"),
     )
-    raw = F.try_divide(F.col("_sxy"), F.sqrt("_sx") * F.sqrt("_sy"))
+    raw = F.when(F.col("_varies"), F.try_divide(F.col("_sxy"), F.sqrt("_sx") * F.sqrt("_sy")))
     r = F.when(raw > 1, 1.0).when(raw < -1, -1.0).otherwise(raw)
     names = [F.array(*[F.lit(pair[side]) for pair in pairs])[F.col("_i")].alias("xy"[side]) for side in (0, 1)]
     return moments.select(*by, *names, r.alias("r"), "n")
@@ -135,7 +137,7 @@ def _solve(frames, predictors, by):
             sxy = np.asarray(row.sxy, dtype=float)
             weights = np.linalg.pinv(sxx, hermitian=True) @ sxy
             intercept = row.mean_y - float(np.dot(weights, np.asarray(row.mean_x, dtype=float)))
-            r2 = float(weights @ sxy / row.syy) if row.syy > 0 else None
+            r2 = float(weights @ sxy / row.syy) if row.varies else None
             base = {name: getattr(row, name) for name in (*by, "pollutant", "n")}
             named = [*zip(predictors, weights), ("intercept", intercept)]
             out += [{**base, "term": t, "coefficient": float(w), "r2": r2} for t, w in named]
@@ -165,7 +167,7 @@ def pollutant_regression(
     )
     moments = cases.groupBy(*by, "pollutant").agg(
         F.count("*").alias("n"),
-        F.avg("y").alias("mean_y"), F.var_pop("y").alias("syy"),
+        F.avg("y").alias("mean_y"), F.var_pop("y").alias("syy"), (F.min("y") < F.max("y")).alias("varies"),
         F.array(*[F.avg(x) for x in xs]).alias("mean_x"),
         F.array(*[F.covar_pop(x, "y") for x in xs]).alias("sxy"),
         F.array(*[F.covar_pop(a, b) for a in xs for b in xs]).alias("sxx"),

@@ -20,11 +20,13 @@ CHUNK = "_chunk"
 TARGET_ROWS = 500_000
 HOUR_US = 3_600_000_000
 MAX_CHUNK_HOURS = 24 * 366
+MAX_RANGES = 20_000
 
 
 class Density(NamedTuple):
     """How tightly rows are packed in time."""
 
+    rows: int
     rows_in_hottest_hour: int
     first_us: int
     last_us: int
@@ -39,11 +41,12 @@ def measure_density(df: DataFrame, keys, ts: str) -> Density:
     """One narrow job returning one row: the fullest hour of any key, and the time range."""
     hours = df.groupBy(*keys, hour_floor(F.col(ts)).alias("_hour")).agg(F.count("*").alias("_n"))
     row = hours.agg(
+        F.sum("_n").alias("rows"),
         F.max("_n").alias("n"),
         micros(F.min("_hour")).alias("first"),
         micros(F.max("_hour")).alias("last"),
     ).first()
-    return Density(row["n"] or 0, row["first"] or 0, row["last"] or 0)
+    return Density(row["rows"] or 0, row["n"] or 0, row["first"] or 0, row["last"] or 0)
 
 
 def in_chunks(
@@ -66,8 +69,9 @@ def in_chunks(
         single = density.last_us + HOUR_US - density.first_us <= width
         return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long") if single else chunk), single)
     ensure_checkpoint_dir(df.sparkSession)
-    wanted = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    ranged = df.repartitionByRange(int(wanted), *keys, *order)
+    configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(max(configured, density.rows // max(target_rows, 1)), MAX_RANGES)
+    ranged = df.repartitionByRange(wanted, *keys, *order)
     return Chunked(ranged.withColumn(CHUNK, F.spark_partition_id().cast("long")).checkpoint(), False)
 
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroweave.functions.calendar import to_local_time
-from aeroweave.operators.cities import align_cities
-from aeroweave.operators.clean import CLEANERS
+from aeroweave.operators.clean import clean_all
 from aeroweave.operators.features import final_dataset, gold_features, transform_categories
 from aeroweave.operators.grids import to_hourly
 from aeroweave.operators.merge import gold_merge, merge_feeds, sort_city_time
@@ -20,18 +19,9 @@ FEEDS = ("weather", "air_quality", "traffic")
 
 
 def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Clean each feed, write it, keep the shared cities, write those; returns the written tables.
-
-    Cleaning is written out before cities are aligned, so finding the shared cities reads
-    one column of a file instead of cleaning everything twice.
-    """
+    """Clean the feeds, keep the cities they share, write them; returns the written tables."""
     prepare(spark)
-    cleaned = {}
-    for name in FEEDS:
-        path = f"{folder}/_cleaned/{name}"
-        CLEANERS[name](bronze[name]).write.mode("overwrite").parquet(path)
-        cleaned[name] = spark.read.parquet(path)
-    aligned = align_cities(*(cleaned[n] for n in FEEDS))
+    aligned = clean_all(*(bronze[n] for n in FEEDS))
     return {n: save_dual(sort_city_time(df), f"{folder}/{n}_cleaned") for n, df in zip(FEEDS, aligned)}
 
 

@@ -98,7 +98,7 @@ def test_dedupe_without_source_order_is_repeatable(spark):
     assert first == again
 
 
-@pytest.mark.parametrize("target", [500_000, 30, 1], ids=["single", "chunks", "ranges"])
+@pytest.mark.parametrize("target", [500_000, 30, 0], ids=["single", "chunks", "ranges"])
 def test_lags_match_pandas(spark, target):
     df, frame = history(spark, 3, 150)
     got = lags.lag_features(df, ["a"], lags=(1, 6, 24), target_rows=target).na.fill(-1.0)
@@ -165,7 +165,7 @@ def test_gaps_across_chunks(spark):
 
 def test_chunk_numbers_never_decrease(spark):
     df, _ = history(spark, 2, 100, copies=3)
-    for target in (7, 1):
+    for target in (7, 2):
         chunked = in_chunks(df, ["city_key"], ("datetime", "_seq"), target).df
         rows = chunked.orderBy("city_key", "datetime", "_seq").select("city_key", "_chunk").collect()
         for before, after in zip(rows, rows[1:]):
