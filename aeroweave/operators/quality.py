@@ -207,7 +207,10 @@ def temporal_gaps(df: DataFrame, keys=("city_key",), target_rows: int = TARGET_R
 
 def _fences(df: DataFrame, cols, by) -> tuple[DataFrame, dict[str, tuple[Column, Column]]]:
     quartiles = exact_quantiles(df, cols, [0.25, 0.75], by)
-    fenced = df.join(broadcast_if_small(quartiles), list(by), "left") if by else attach_scalars(df, quartiles)
+    if by:
+        fenced = df.join(broadcast_if_small(quartiles, counted=df.select(*by).distinct()), by, "left")
+    else:
+        fenced = attach_scalars(df, quartiles)
     fences = {}
     for c in cols:
         q1, q3 = F.col(quantile_name(c, 0.25)), F.col(quantile_name(c, 0.75))

@@ -72,7 +72,7 @@ def exact_quantiles(df: DataFrame, cols, probs, by=()) -> DataFrame:
     narrow = df.select(*by, *cols)
     brackets = _brackets(narrow, cols, probs, by)
     if by:
-        sketched = narrow.join(broadcast_if_small(brackets), by)
+        sketched = narrow.join(broadcast_if_small(brackets, counted=narrow.select(*by).distinct()), by)
     else:
         sketched = attach_scalars(narrow, brackets)
 

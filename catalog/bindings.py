@@ -19,18 +19,20 @@ SPARK = {
     "order_ts": "o_orderdate + make_dt_interval(0, cast(o_orderkey % 24 as int))",
     "ship_ts": "l_shipdate + make_dt_interval(0, cast(l_orderkey % 24 as int))",
     "ship_date": "to_date(l_shipdate)",
+    "next_date": "date_add(to_date(l_shipdate), 1)",
 }
 DUCK = {
     "hour": "date_trunc('hour', ts)",
     "order_ts": "o_orderdate + (o_orderkey % 24) * interval 1 hour",
     "ship_ts": "l_shipdate + (l_orderkey % 24) * interval 1 hour",
     "ship_date": "cast(l_shipdate as date)",
+    "next_date": "cast(l_shipdate as date) + 1",
 }
 
-# name -> (source table, row filter, columns)
+# name -> (source table, columns)
 FEEDS = {
-    "bronze_weather": ("events", "user_id % 3 = 0", {
-        "city_key": "event_type",
+    "bronze_weather": ("events", {
+        "city_key": "concat(event_type, '_', cast(user_id % 2 as string))",
         "datetime": "{hour}",
         "_seq": "event_id",
         "temperature": "case when event_id % 11 = 0 then null when event_id % 13 = 0 then value * 20.0 "
@@ -46,8 +48,10 @@ FEEDS = {
         "temp_min": "value / 4.0 - 15.0",
         "temp_max": "value / 4.0 - 6.0",
     }),
-    "bronze_air": ("events", "user_id % 3 = 1 and event_type <> 'signup'", {
-        "city_key": "event_type",
+    "bronze_air": ("events", {
+        # one city of the other feeds is missing here, and one is only here
+        "city_key": "concat(case when event_type = 'signup' then 'annex' else event_type end, '_', "
+                    "cast((user_id + 1) % 2 as string))",
         "datetime": "{hour}",
         "_seq": "event_id",
         "station_id": "cast(user_id as string)",
@@ -58,8 +62,8 @@ FEEDS = {
         "pm25": "case when event_id % 23 = 0 then null else value * 0.9 end",
         "co": "cast(event_id % 9 as double)",
     }),
-    "bronze_traffic": ("events", "user_id % 3 = 2", {
-        "city_key": "event_type",
+    "bronze_traffic": ("events", {
+        "city_key": "concat(event_type, '_', cast(event_id % 2 as string))",
         "datetime": "{hour}",
         "_seq": "event_id",
         "current_speed": "case when event_id % 29 = 0 then null else cast(10 + event_id % 41 as double) end",
@@ -73,7 +77,7 @@ FEEDS = {
         "data_source": "case when event_id % 4 = 0 then 'flow' else 'synthetic' end",
     }),
     # every event as one reading with all measures, for single-value functions
-    "readings": ("events", "true", {
+    "readings": ("events", {
         "event_id": "event_id",
         "city_key": "event_type",
         "ts": "ts",
@@ -94,9 +98,9 @@ FEEDS = {
         "free_flow_speed": "cast(event_id % 55 as double)",
     }),
     # order times spread over years, for calendar functions
-    "stamps": ("orders", "true", {"id": "o_orderkey", "ts": "{order_ts}"}),
+    "stamps": ("orders", {"id": "o_orderkey", "ts": "{order_ts}"}),
     # stations spread over the country
-    "stations": ("customer", "true", {
+    "stations": ("customer", {
         "station_id": "c_custkey",
         "city": "case c_custkey % 8 when 0 then 'Berlin' when 1 then 'berlin neukölln' when 2 then 'MÜNCHEN' "
                 "when 3 then 'Frankfurt' when 4 then 'Halle (Saale)' when 5 then 'Bad Homburg' "
@@ -122,7 +126,7 @@ SHIPMENTS = {
             "temperature": "l_tax * 300.0 - 5.0",
             "pressure": "1000.0 + l_quantity",
             "traffic_index": "l_discount * 900.0",
-            "l_linestatus": "l_linestatus",
+            "next_date": "{next_date}",
         },
     )
 }
@@ -130,13 +134,9 @@ MEASURES = ("no2", "pm10", "o3", "pm25", "temperature", "pressure", "traffic_ind
 
 
 def duck_feed(name: str) -> str:
-    if name in SHIPMENTS:
-        source, columns = SHIPMENTS[name]
-        where = "true"
-    else:
-        source, where, columns = FEEDS[name]
+    source, columns = (FEEDS | SHIPMENTS)[name]
     listed = ",\n       ".join(f"{expr.format(**DUCK)} as {col}" for col, expr in columns.items())
-    return f"select {listed}\nfrom {source} where {where}"
+    return f"select {listed}\nfrom {source}"
 
 
 class Tables:
@@ -150,8 +150,8 @@ class Tables:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def feed(self, name: str) -> DataFrame:
-        source, where, columns = FEEDS[name]
-        return self.read(source).filter(where).selectExpr(
+        source, columns = FEEDS[name]
+        return self.read(source).selectExpr(
             *[f"{expr.format(**SPARK)} as {col}" for col, expr in columns.items()]
         )
 
@@ -196,16 +196,16 @@ class Tables:
 
     @cached_property
     def study_feeds(self) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """air (all rows), weather (daily, status F), traffic (daily, status O)."""
+        """air (rows), weather (daily), traffic (daily, a day later)."""
         rows = self.shipments
 
-        def daily(status: str, **means: str) -> DataFrame:
+        def daily(date: str, **means: str) -> DataFrame:
             aggs = [F.avg(F.expr(expr)).alias(name) for name, expr in means.items()]
-            return rows.filter(F.col("l_linestatus") == status).groupBy("city", "date").agg(*aggs)
+            return rows.groupBy("city", F.col(date).alias("date")).agg(*aggs)
 
-        weather = daily("F", temperature="temperature", temp_min="temperature - 4.0", temp_max="temperature + 5.0",
+        weather = daily("date", temperature="temperature", temp_min="temperature - 4.0", temp_max="temperature + 5.0",
                         wind_speed="pm25", precipitation="o3", pressure="pressure", wpgt="no2")
-        traffic = daily("O", traffic_index="traffic_index", congestion_level="traffic_index / 100.0",
+        traffic = daily("next_date", traffic_index="traffic_index", congestion_level="traffic_index / 100.0",
                         current_speed="no2")
         return rows.select("city", "date", "no2", "pm10", "o3"), weather, traffic
 

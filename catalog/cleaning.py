@@ -75,8 +75,8 @@ ENTRIES: dict[str, Entry] = {
         lambda t: schema.rename_columns(t.read("events").select("event_id", "event_type"), {"event_type": "city"}),
         "select event_id, event_type as city from events"),
     "filter_city": entry(
-        lambda t: schema.filter_city(t.feed("bronze_weather"), "click").select("_seq", "humidity"),
-        "select _seq, humidity from bronze_weather where city_key = 'click'", "bronze_weather", doubles="humidity"),
+        lambda t: schema.filter_city(t.feed("bronze_weather"), "click_1").select("_seq", "humidity"),
+        "select _seq, humidity from bronze_weather where city_key = 'click_1'", "bronze_weather", doubles="humidity"),
     "filter_in_set": entry(
         lambda t: schema.filter_in_set(t.feed("bronze_weather"), t.feed("bronze_air")).select("city_key", "_seq"),
         "select city_key, _seq from bronze_weather where city_key in (select city_key from bronze_air)",

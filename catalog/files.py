@@ -44,9 +44,10 @@ def _json_array(t) -> str:
 def _latest(t) -> DataFrame:
     folder = f"{_folder(t)}/weather"
     events = _events(t)
-    for day, rows in (("20240101_000000", events.filter("value > 100")), ("20240102_000000", events)):
-        writers.save(rows, f"{folder}/weather_data_{day}.parquet")
-    writers.save(events.limit(1), f"{folder}/other_20240103_000000.parquet")
+    for name, rows in (("weather_data_20240101_000000", events.withColumn("value", -F.col("value"))),
+                       ("weather_data_20240102_000000", events),
+                       ("other_20240103_000000", events.select("event_id"))):
+        writers.save(rows, f"{folder}/{name}.parquet")
     return readers.latest(t.spark, folder, "weather_data_*")
 
 
@@ -104,14 +105,14 @@ STATION_SQL = """select event_id, case when event_id % 10 <> 0 then date_trunc('
     {city} as city, {key} as city_key,
     case when event_id % 10 <> 0 then cast(ts as date) end as date,
     case when event_id % 10 <> 0 then cast(hour(ts) as integer) end as hour
-from events where {where}"""
+from events"""
 
 
 def _many_csv(t) -> DataFrame:
     folder = _folder(t)
     rows = _station_csv(t)
-    for key, parity in (("berlin", 0), ("munich", 1), ("atlantis", 1)):
-        writers.save(rows.filter(F.col("event_id") % 2 == parity), f"{folder}/{key}.csv", "csv")
+    for key in ("berlin", "munich", "atlantis"):
+        writers.save(rows, f"{folder}/{key}.csv", "csv")
     stacked = feeds.import_many_csv(t.spark, {k: f"{folder}/{k}.csv" for k in ("berlin", "munich", "atlantis")})
     return stacked.withColumn("event_id", F.col("event_id").cast("bigint"))
 
@@ -176,11 +177,10 @@ ENTRIES: dict[str, Entry] = {
         _by_city, "select city_key, _seq, humidity from bronze_weather", "bronze_weather", doubles="humidity"),
     "import_station_csv": entry(
         lambda t: feeds.import_station_csv(_station_csv(t), "munich"),
-        STATION_SQL.format(city="'Munich'", key="'munich'", where="true"), doubles="no2 pm25 value"),
+        STATION_SQL.format(city="'Munich'", key="'munich'"), doubles="no2 pm25 value"),
     "import_many_csv": entry(
         _many_csv,
-        STATION_SQL.format(city="case when event_id % 2 = 0 then 'Berlin' else 'Munich' end",
-                           key="case when event_id % 2 = 0 then 'berlin' else 'munich' end", where="true"),
+        " union all ".join(STATION_SQL.format(city=f"'{name}'", key=f"'{name.lower()}'") for name in ("Berlin", "Munich")),
         doubles="no2 pm25 value"),
     "flatten_stations": entry(
         lambda t: payloads.flatten_stations(t.read("customer").selectExpr(f"{STATION_PAYLOAD} as payload")).withColumn(

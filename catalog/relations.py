@@ -132,11 +132,11 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
         select city, date, avg(temperature) as temperature, avg(temperature - 4.0) as temp_min,
             avg(temperature + 5.0) as temp_max, avg(pm25) as wind_speed, avg(o3) as precipitation,
             avg(pressure) as pressure, avg(no2) as wpgt
-        from shipments where l_linestatus = 'F' group by city, date"""),
+        from shipments group by city, date"""),
     "study_traffic": (("shipments",), """
-        select city, date, avg(traffic_index) as traffic_index, avg(traffic_index / 100.0) as congestion_level,
+        select city, next_date as date, avg(traffic_index) as traffic_index, avg(traffic_index / 100.0) as congestion_level,
             avg(no2) as current_speed
-        from shipments where l_linestatus = 'O' group by city, date"""),
+        from shipments group by city, next_date"""),
     "study": (("study_air", "study_weather", "study_traffic"), f"""
         select a.city, a.date, a.no2, a.pm10, a.o3, w.temperature, w.temp_min, w.temp_max, w.wind_speed,
             w.precipitation, w.pressure, w.wpgt, t.traffic_index, t.congestion_level, t.current_speed,
