@@ -83,9 +83,13 @@ def city_correlations(df: DataFrame, by: str = "city", cols=CITY_COLUMNS) -> Dat
 
 
 def top_correlations(corr: DataFrame, pollutants=POLLUTANTS) -> DataFrame:
-    """Per pollutant the other variables by strength of correlation."""
+    """Per pollutant the other variables by strength of correlation.
+
+    Strengths that agree to twelve digits are ties, ordered by name: beyond that the digits
+    depend on the order in which tasks were added up.
+    """
     ranked = corr.filter(F.col("x").isin(*pollutants) & (F.col("x") != F.col("y")) & F.col("r").isNotNull())
-    order = Window.partitionBy("x").orderBy(F.abs("r").desc(), "y")
+    order = Window.partitionBy("x").orderBy(F.round(F.abs("r"), 12).desc(), "y")
     return ranked.select(
         F.col("x").alias("pollutant"), F.col("y").alias("variable"), "r", F.row_number().over(order).alias("rank")
     )

@@ -252,7 +252,7 @@ ENTRIES: dict[str, Entry] = {
     "top_correlations": entry(
         lambda t: stats.top_correlations(stats.correlation_matrix(t.study)),
         f"""select x as pollutant, y as variable, r,
-            cast(row_number() over (partition by x order by abs(r) desc, y) as integer) as rank
+            cast(row_number() over (partition by x order by round(abs(r), 12) desc, y) as integer) as rank
         from ({_pairs_sql(TOP_PAIRS)}) where r is not null""", "study", doubles="r"),
     "scatter_points": entry(lambda t: stats.scatter_points(t.study), SCATTER_SQL, "study", doubles="x y"),
     "pearson_tests": entry(
