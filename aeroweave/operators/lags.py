@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroweave.functions.calendar import seconds_between
+from aeroweave.operators.schema import SEQ
 from aeroweave.plans.chunks import TARGET_ROWS, Density
 from aeroweave.plans.shift import Shift, shift_rows
 
@@ -13,6 +14,11 @@ KEYS = ("city_key",)
 DEFAULT_LAGS = (1, 2, 3, 6, 12, 24)
 
 
+def _order(df: DataFrame, ts: str) -> tuple[str, ...]:
+    """Time, then source order where a feed still carries it."""
+    return (ts, SEQ) if SEQ in df.columns else (ts,)
+
+
 def _lag_shifts(df: DataFrame, cols, lags) -> list[Shift]:
     return [Shift(c, n, f"{c}_lag_{n}h") for c in cols if c in df.columns for n in lags]
 
@@ -25,7 +31,7 @@ def lag_features(
     for needed in (ts, *keys):
         if needed not in df.columns:
             raise ValueError(f"column required for lag features: {needed}")
-    return shift_rows(df, _lag_shifts(df, cols, lags), keys, (ts,), target_rows)
+    return shift_rows(df, _lag_shifts(df, cols, lags), keys, _order(df, ts), target_rows)
 
 
 def pressure_and_lags(
@@ -37,7 +43,7 @@ def pressure_and_lags(
     has_pressure = "pressure" in df.columns
     if has_pressure:
         shifts += [Shift("pressure", 1, "_prev_pressure"), Shift(ts, 1, "_prev_time")]
-    shifted = shift_rows(df, shifts, keys, (ts,), target_rows, density)
+    shifted = shift_rows(df, shifts, keys, _order(df, ts), target_rows, density)
     if not has_pressure:
         return shifted
     change = F.col("pressure") - F.col("_prev_pressure")

@@ -108,6 +108,15 @@ def test_lags_match_pandas(spark, target):
     assert as_rows(got, columns) == pandas_rows(frame.fillna(-1.0), columns)
 
 
+def test_lags_with_a_pile_of_copies(spark):
+    df, frame = history(spark, 2, 40, copies=2, hot=300)
+    got = lags.lag_features(df, ["a"], lags=(1, 6), target_rows=50).na.fill(-1.0)
+    for n in (1, 6):
+        frame[f"a_lag_{n}h"] = frame.groupby("city_key")["a"].shift(n)
+    columns = ["_seq", "a_lag_1h", "a_lag_6h"]
+    assert as_rows(got, columns) == pandas_rows(frame.fillna(-1.0), columns)
+
+
 def test_lag_reaches_over_sparse_chunks(spark):
     rows = [("x", T0 + timedelta(days=400 * i), i, float(i), None) for i in range(8)]
     rows += [("y", T0 + timedelta(hours=i), 100 + i, float(i), None) for i in range(60)]
