@@ -23,7 +23,7 @@ KEPT_SHARE = 0.3
 _SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
 _SCHEMA = (
-    "__id long, __text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "__row long, __id long, __text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, __host long, __keys array<long>, __sizes array<int>")
 _BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -68,13 +68,13 @@ def _features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(_SCHEMA)
     for part in parts:
         rows = []
-        for doc_id, text, host in zip(*(part.column(i).to_pylist() for i in range(3))):
+        for row, doc_id, text, host in zip(*(part.column(i).to_pylist() for i in range(4))):
             text = text or ""
             site = b"\x00" if host is None else host.encode()
             *counts, lines, sizes = text_counts(text)
             key = signed_hash(text.encode("utf-8", "surrogatepass"))
             seed = xxhash.xxh64_intdigest(site)
-            rows.append((doc_id, key, *counts, signed_hash(site), [signed_hash(x, seed) for x in lines], sizes))
+            rows.append((row, doc_id, key, *counts, signed_hash(site), [signed_hash(x, seed) for x in lines], sizes))
         yield record_batch(rows, schema)
 
 
@@ -99,18 +99,17 @@ def judge_quality(
     ``line_share``; they are broadcast only when counted to be few.
     """
     features = written(
-        docs.select(F.col(id_column).cast("long").alias("__id"), F.col(text_column).cast("string").alias("__text"),
+        docs.select(F.monotonically_increasing_id(), F.col(id_column).cast("long").alias("__id"), F.col(text_column).cast("string").alias("__text"),
                     F.col(host_column).cast("string").alias("__site")).mapInArrow(_features, _SCHEMA), "lines")
     held = features.select("__host", "__text_key", F.explode(F.array_distinct("__keys")).alias("__key"))
     counts = held.groupBy("__host", "__key").agg(F.countDistinct("__text_key").alias("n")).filter(F.col("n") >= line_docs)
     hosts = features.groupBy("__host").agg(F.countDistinct("__text_key").alias("all"))
     common = written(counts.join(hosts, "__host").filter(F.col("n") > line_share * F.col("all")).select("__key"), "common")
 
-    rows = features.withColumn("__row", F.monotonically_increasing_id())
-    lines = rows.select("__row", F.explode(F.arrays_zip("__keys", "__sizes")).alias("line")).select(
+    lines = features.select("__row", F.explode(F.arrays_zip("__keys", "__sizes")).alias("line")).select(
         "__row", F.col("line.__keys").alias("__key"), F.col("line.__sizes").alias("size"))
     lost = lines.join(broadcast_if_small(common), "__key").groupBy("__row").agg(F.sum("size").alias("lost"))
-    judged = rows.select("__row", "__id", *_BASE).join(lost, "__row", "left")
+    judged = features.select("__row", "__id", *_BASE).join(lost, "__row", "left")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))
     return judged.select(

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroweave.llm import lines, mixing, quality, urls
+from aeroweave.llm import (
+    decontaminate, gam, html, language_model, lines, mixing, quality, repeats, simhash, urls,
+)
 
 #: Rules of the URL query: host, path, verdict.
 URL_RULES = [
@@ -23,6 +25,21 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents")).withColumnRenamed("__copy", "copy")
 
 
+def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(_table(spark, sf_dir, "documents"))
+    return groups.select(
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+        F.col("component").alias("component_id"))
+
+
+def op3_dedup_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.dedup_substrings(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+def op4_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urls.filter_urls(_table(spark, sf_dir, "pages"), rules)
@@ -32,6 +49,19 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(_table(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) where the document holds the item."""
+    return decontaminate.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_score_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.score_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_score_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_texts(_table(spark, sf_dir, "documents"))
+
+
 def op10_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without cross-site boilerplate lines."""
     return lines.dedup_lines(_table(spark, sf_dir, "documents")).select(
@@ -39,9 +69,10 @@ def op10_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text"), 256).alias("kept_sha256"), F.length("text").alias("kept_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op5_filter_urls, op6_quality_rules, op10_spread_lines)}
-
-_WORDS = r"[^\x20\x09-\x0D]+"
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_simhash_groups, op3_dedup_substrings, op4_extract_text, op5_filter_urls, op6_quality_rules,
+    op7_benchmark_leaks, op8_score_quality, op9_score_texts, op10_spread_lines,
+)}
 
 SQL = {
     "op6_quality_rules": r"""

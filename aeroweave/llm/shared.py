@@ -67,7 +67,8 @@ def text_or_empty(column: str) -> Column:
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
           "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
-          "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string())}
+          "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string()),
+          "array<binary>": pa.list_(pa.binary())}
 
 
 def arrow_schema(ddl: str) -> pa.Schema:
