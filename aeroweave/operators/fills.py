@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aeroweave.operators.schema import SEQ, with_seq
-from aeroweave.plans.chunks import CHUNK, TARGET_ROWS, Chunked, in_chunks, measure_density, order_key
+from aeroweave.plans.chunks import CHUNK, TARGET_ROWS, Chunked, in_chunks, join_known_or_not, measure_density, order_key
 from aeroweave.plans.shift import Shift, shift_rows
 
 KEYS = ("city_key",)
@@ -57,7 +57,7 @@ def _along_time(chunked: Chunked, keys, order, columns: dict[str, tuple[str, str
                 F.first(f"_first_{name}", ignorenulls=True).over(every).alias(f"_start_{name}"),
             )
         ])
-        df = df.join(carried, [*keys, CHUNK], "left")
+        df = join_known_or_not(df, carried, [*keys, CHUNK])
 
     def filled(name: str, own: str, last: str, first: str) -> Column:
         on = F.last(last, ignorenulls=True).over(earlier)

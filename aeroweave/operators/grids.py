@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroweave.functions.calendar import day_floor, hour_floor
-from aeroweave.operators.schema import SEQ, ensure_datetime, with_seq
+from aeroweave.operators.schema import SEQ, ensure_datetime
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
@@ -50,6 +50,11 @@ def _first_known(column: str, position: Column) -> Column:
     return F.min_by(column, F.when(F.col(column).isNotNull(), position))
 
 
+def _place(df: DataFrame, seq: str) -> Column:
+    """Source order; of a table without one, such as a cleaned feed with one row per instant, the time."""
+    return F.col(seq if seq in df.columns else "datetime")
+
+
 def to_hourly(df: DataFrame, keys=("city_key",), seq: str = SEQ) -> DataFrame:
     """One row per hour from the first to the last of each key.
 
@@ -58,20 +63,18 @@ def to_hourly(df: DataFrame, keys=("city_key",), seq: str = SEQ) -> DataFrame:
     ``keys=()`` lays one grid over the whole table.
     """
     keys = list(keys)
-    rows = with_seq(ensure_datetime(df))
+    rows = ensure_datetime(df)
+    place = _place(df, seq)
     values = [c for c in df.columns if c not in (*keys, "datetime", "date", seq)]
-    hours = rows.groupBy(*keys, hour_floor(F.col("datetime")).alias("datetime")).agg(
-        *[_first_known(c, F.col(seq)).alias(c) for c in values]
-    )
-    grid = hour_spine(_spans(hours, keys, "datetime"))
-    before = hours.select(
-        *keys, (F.col("datetime") + _step(hours=1)).alias("datetime"), *[F.col(c).alias(f"_{c}") for c in values]
-    )
+    hour = hour_floor(F.col("datetime"))
+    # every row goes to its own hour and, in case that is missing something, to the next
+    sent = rows.withColumn("_later", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
+        "_hour", F.when(F.col("_later") == 0, hour).otherwise(hour + _step(hours=1)))
+    rank = F.struct("_later", place)
+    hours = sent.groupBy(*keys, F.col("_hour").alias("datetime")).agg(*[_first_known(c, rank).alias(c) for c in values])
+    grid = hour_spine(_spans(rows.select(*keys, hour.alias("datetime")), keys, "datetime"))
     on = [*keys, "datetime"]
-    filled = grid.join(hours, on, "left").join(before, on, "left")
-    return filled.select(
-        *on, *[F.coalesce(F.col(c), F.col(f"_{c}")).alias(c) for c in values], F.to_date("datetime").alias("date")
-    )
+    return grid.join(hours, on, "left").select(*on, *values, F.to_date("datetime").alias("date"))
 
 
 def to_daily(df: DataFrame, keys=("city_key",), seq: str = SEQ) -> DataFrame:
@@ -80,14 +83,14 @@ def to_daily(df: DataFrame, keys=("city_key",), seq: str = SEQ) -> DataFrame:
     Days without rows stay as gaps.
     """
     keys = list(keys)
-    rows = with_seq(ensure_datetime(df))
+    rows = ensure_datetime(df)
     kinds = dict(rows.dtypes)
     aggs = []
     for c in df.columns:
         if c in (*keys, "datetime", "date", seq):
             continue
         if not kinds[c].startswith(NUMERIC):
-            aggs.append(_first_known(c, F.col(seq)).alias(c))
+            aggs.append(_first_known(c, _place(df, seq)).alias(c))
         elif "max" in c.lower():
             aggs.append(F.max(c).alias(c))
         elif "min" in c.lower():

@@ -76,14 +76,10 @@ def median_fill(df: DataFrame, cols) -> DataFrame:
 
 
 def with_seq(df: DataFrame) -> DataFrame:
-    """Make sure there is a ``_seq`` order column.
-
-    Feeds should bring their source order along. Without one, ties are broken by a hash
-    of the row, which at least gives the same winner on every run.
-    """
-    if SEQ in df.columns:
-        return df
-    return df.withColumn(SEQ, F.xxhash64(*df.columns))
+    """Make sure there is a ``_seq`` order column: which row came first can't be told without one."""
+    if SEQ not in df.columns:
+        raise ValueError(f"the feed has no {SEQ} column; read it with source_order=True or bring one along")
+    return df
 
 
 def ensure_datetime(df: DataFrame) -> DataFrame:

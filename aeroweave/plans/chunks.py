@@ -8,6 +8,7 @@ table of one row per chunk.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -19,8 +20,6 @@ from aeroweave.session import ensure_checkpoint_dir
 CHUNK = "_chunk"
 TARGET_ROWS = 500_000
 HOUR_US = 3_600_000_000
-MAX_CHUNK_HOURS = 24 * 366
-MAX_RANGES = 20_000
 
 
 class Density(NamedTuple):
@@ -58,23 +57,30 @@ def in_chunks(
     none exceeds ``target_rows``. When a single hour of one key is already larger than
     that, equal spans cannot help: the rows are range-partitioned by key and full order
     instead, and the partition number is the chunk. That number must be the same for
-    every later reader, hence the checkpoint.
+    every later reader, hence the checkpoint. Unknown times sort first, so they make up the
+    lowest chunk.
     """
     ts = order[0]
     density = density or measure_density(df, keys, ts)
     if density.rows_in_hottest_hour <= target_rows:
-        hours = min(target_rows // max(density.rows_in_hottest_hour, 1), MAX_CHUNK_HOURS)
-        width = hours * HOUR_US
-        chunk = F.floor((micros(F.col(ts)) - F.lit(density.first_us)) / F.lit(width))
+        width = target_rows // max(density.rows_in_hottest_hour, 1) * HOUR_US
+        chunk = F.coalesce(F.floor((micros(F.col(ts)) - F.lit(density.first_us)) / F.lit(width)), F.lit(-1).cast("long"))
         single = density.last_us + HOUR_US - density.first_us <= width
         return Chunked(df.withColumn(CHUNK, F.lit(0).cast("long") if single else chunk), single)
     ensure_checkpoint_dir(df.sparkSession)
     configured = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(max(configured, density.rows // max(target_rows, 1)), MAX_RANGES)
+    wanted = max(configured, -(-density.rows // max(target_rows, 1)))
     ranged = df.repartitionByRange(wanted, *keys, *order)
     return Chunked(ranged.withColumn(CHUNK, F.spark_partition_id().cast("long")).checkpoint(), False)
 
 
 def order_key(order) -> Column:
-    """The order as one comparable value."""
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    """The order as one comparable value, which is known even where the time is not."""
+    return F.struct(*order)
+
+
+def join_known_or_not(df: DataFrame, other: DataFrame, on) -> DataFrame:
+    """Left join on columns of which unknown values are equal to each other."""
+    renamed = other.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return df.join(renamed, same, "left").drop(*[f"_on_{c}" for c in on])

@@ -25,23 +25,6 @@ STATION_CSV_NAMES = {
 }
 VALUE_HEADERS = ("Value", "Concentration")
 
-# Feed schemas for reading CSV without inference
-WEATHER_SCHEMA = (
-    "datetime timestamp_ntz, temperature double, dwpt double, humidity double, precipitation double, snow double, "
-    "wind_direction double, wind_speed double, wpgt double, pressure double, tsun double, weather_code double, "
-    "city string, city_key string, lat double, lon double, date date, hour int"
-)
-AIR_SCHEMA = (
-    "city string, city_key string, datetime timestamp_ntz, date date, hour int, station_name string, "
-    "station_id string, no2 double, pm10 double, o3 double"
-)
-TRAFFIC_SCHEMA = (
-    "city string, city_key string, datetime timestamp_ntz, date date, hour int, day_of_week int, lat double, "
-    "lon double, current_speed double, free_flow_speed double, confidence double, congestion_level double, "
-    "traffic_index double, is_rush_hour boolean, is_weekend boolean, is_holiday boolean, holiday_name string, "
-    "data_source string"
-)
-
 
 def _date_and_hour(df: DataFrame) -> DataFrame:
     return df.withColumns({"date": F.to_date("datetime"), "hour": F.hour("datetime")})

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aeroweave.dims import CITIES
 from aeroweave.functions.traffic import congestion_level, traffic_index
+from aeroweave.operators.cities import city_table, first_station, match_station_city
+from aeroweave.operators.merge import pivot_pollutants
 
 # Slots of a station entry after its id, and the least length of an entry
 STATION_SLOTS = ("station_code", "station_name", "city", "state_code", "date_from", "date_to", "longitude", "latitude")
@@ -13,6 +16,7 @@ MIN_STATION_SLOTS = 9
 
 # Component numbers in measurement entries
 COMPONENT_IDS = {"PM10": 1, "PM2.5": 2, "O3": 3, "CO": 4, "NO2": 5}
+POLLUTANT_COMPONENTS = ("NO2", "PM10", "O3")
 FIRST_COMPONENT_SLOT = 4  # after end time, index and completeness flag
 
 _STATIONS = "struct<data: map<string, array<string>>>"
@@ -28,9 +32,9 @@ def flatten_stations(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 
 def _component_id(item: Column) -> Column:
-    """Number a component item starts with, as text; null for anything but a list of two or more."""
-    is_list = item.startswith("[") & item.contains(",")
-    return F.when(is_list, F.trim(F.substring_index(F.substring(item, 2, 40), ",", 1)))
+    """Number a component item starts with; null for anything but a list of two or more that starts with one."""
+    is_list = item.rlike(r"^\s*\[\s*[-0-9]") & item.contains(",")
+    return F.when(is_list, F.get_json_object(item, "$[0]").try_cast("double"))
 
 
 def flatten_measurements(df: DataFrame, payload: str = "payload", components=tuple(COMPONENT_IDS)) -> DataFrame:
@@ -48,7 +52,7 @@ def flatten_measurements(df: DataFrame, payload: str = "payload", components=tup
     )
     ids = F.transform("_items", _component_id)
     wanted = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.array_position(ids, F.lit(str(COMPONENT_IDS[name]))).alias("at"))
+        F.struct(F.lit(name).alias("name"), F.array_position(ids, F.lit(float(COMPONENT_IDS[name]))).alias("at"))
         for name in components
     ])
     found = listed.select("*", F.explode(F.filter(wanted, lambda c: c["at"] > 0)).alias("_c"))
@@ -64,6 +68,25 @@ def flatten_measurements(df: DataFrame, payload: str = "payload", components=tup
     )
 
 
+def air_from_payloads(
+    stations: DataFrame, measurements: DataFrame, payload: str = "payload", cities=CITIES, pollutants=POLLUTANT_COMPONENTS,
+) -> DataFrame:
+    """Hourly air-quality feed of the first station of each city, one column per pollutant.
+
+    ``stations`` and ``measurements`` hold one landed document per row. A station serves every city it matches; of a
+    city's stations the one with the least id is taken, so what is joined to the measurements is bounded by the city list.
+    """
+    placed = match_station_city(flatten_stations(stations, payload), cities)
+    chosen = first_station(placed).select("station_id", "station_name", "city_key")
+    names = city_table(stations.sparkSession, cities).select("city_key", F.col("name").alias("city"))
+    readings = flatten_measurements(measurements, payload, pollutants).join(
+        F.broadcast(chosen.join(F.broadcast(names), "city_key")), "station_id")
+    dated = readings.select(
+        "city", "city_key", "datetime", F.to_date("datetime").alias("date"), F.hour("datetime").alias("hour"),
+        "station_name", "station_id", F.col("component").alias("pollutant"), "value")
+    return pivot_pollutants(dated, pollutants)
+
+
 def normalize_traffic_flow(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Speeds and confidence of a flow payload, with congestion level and traffic index."""
     flow = F.from_json(payload, _FLOW)["flowSegmentData"]

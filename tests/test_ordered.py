@@ -90,12 +90,50 @@ def test_dedupe_keeps_the_first_and_is_idempotent(spark):
     assert as_rows(fills.dedupe_keep_first(once), ["_seq"]) == as_rows(once, ["_seq"])
 
 
-def test_dedupe_without_source_order_is_repeatable(spark):
+def test_dedupe_without_source_order_is_refused(spark):
     df, _ = history(spark, 2, 60, copies=4)
-    plain = df.drop("_seq")
-    first = as_rows(fills.dedupe_keep_first(plain).na.fill(-1.0), ["city_key", "datetime", "a", "b"])
-    again = as_rows(fills.dedupe_keep_first(plain.repartition(7)).na.fill(-1.0), ["city_key", "datetime", "a", "b"])
-    assert first == again
+    with pytest.raises(ValueError, match="_seq"):
+        fills.dedupe_keep_first(df.drop("_seq"))
+
+
+def unknown_history(spark):
+    """Cities and times that are not known among the others, with values on both sides."""
+    times = [None, None, None, *(T0 + timedelta(hours=h) for h in (0, 1, 2, 30, 31, 900, 901))]
+    rows = [(c, t, i + 20 * k, None if (i + k) % 3 == 0 else float(i + 10 * k)) for k, c in enumerate(("x", None, "y")) for i, t in enumerate(times)]
+    return spark.createDataFrame(rows, "city_key string, datetime timestamp_ntz, _seq bigint, a double")
+
+
+@pytest.mark.parametrize("operator", ["fill", "keep", "limit", "lags", "rolling"])
+def test_unknown_keys_and_times_give_one_answer_at_every_target(spark, operator):
+    df = unknown_history(spark)
+    run = {
+        "fill": lambda n: fills.fill_ffill_bfill(df, ["a"], target_rows=n),
+        "keep": lambda n: fills.fill_and_keep_first(df, ["a"], target_rows=n),
+        "limit": lambda n: fills.fill_forward_limit1(df, ["a"], target_rows=n),
+        "lags": lambda n: lags.lag_features(df, ["a"], lags=(1, 2), target_rows=n),
+        "rolling": lambda n: rolling.rolling_mean(df, ["a"], days=(1, 7), target_rows=n),
+    }[operator]
+    answers = [sorted(map(str, run(n).collect())) for n in (500_000, 7, 1)]
+    assert answers[0] == answers[1] == answers[2]
+    if operator == "rolling":
+        rows = {(r.city_key, r.datetime): r for r in run(500_000).collect() if r.datetime}
+        assert rows[None, T0 + timedelta(hours=31)]["a_rolling_7d"] == 15.0
+
+
+def test_rolling_mean_forgets_a_very_large_value(spark):
+    rows = [("c", T0 + timedelta(hours=h), h, 1e17 if h == 3 else 1.0) for h in range(80)]
+    df = spark.createDataFrame(rows, "city_key string, datetime timestamp_ntz, _seq bigint, a double")
+    for target in (500_000, 1):
+        got = {r["_seq"]: r["a_rolling_1d"] for r in rolling.rolling_mean(df, ["a"], days=(1,), target_rows=target).collect()}
+        assert all(got[h] == 1.0 for h in [0, 1, 2, *range(27, 80)]) and got[20] > 1e14
+
+
+def test_a_quantile_bracket_that_misses_is_widened(spark):
+    df = spark.range(20_000).selectExpr("cast(id as double) as v", "id % 3 as k")
+    for by in ((), ("k",)):
+        narrow = [tuple(r) for r in exact_quantiles(df, ["v"], [0.1, 0.5, 0.99], by, margin=1e-7).orderBy(*(by or ["v_q50"])).collect()]
+        usual = [tuple(r) for r in exact_quantiles(df, ["v"], [0.1, 0.5, 0.99], by).orderBy(*(by or ["v_q50"])).collect()]
+        assert narrow == usual
 
 
 @pytest.mark.parametrize("target", [500_000, 30, 0], ids=["single", "chunks", "ranges"])
