@@ -1,10 +1,10 @@
 """Exact quantiles without holding a column in one task.
 
 The built-in exact ``percentile`` keeps every distinct value of a group in one task. Here
-a sketch first brackets each quantile between two values that are a few hundred-thousandths
-of the rows apart; a second pass counts what lies below, and keeps value counts only inside
-the bracket. The wanted ranks are then read off those few counts. Should a bracket ever
-miss its rank the query fails rather than return an approximation.
+sketches, merged in levels, first bracket each quantile between two values; a second pass counts
+what lies below and above with plain conditional sums, and keeps value counts only inside the bracket. The
+wanted ranks are then read off those few counts. A bracket that misses its rank is widened and
+counted again.
 """
 
 from __future__ import annotations
@@ -12,98 +12,136 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeroweave.plans.small import attach_scalars, broadcast_if_small
+from aeroweave.plans.small import broadcast_if_small
 
-SKETCH_ACCURACY = 100_000
-BRACKET_MARGIN = 4 / SKETCH_ACCURACY
+SKETCH_SIZE = 4096  # the rank error is about 0.07 %
+MARGIN = 0.004
+WIDER = 8
+SKETCH_BUCKETS = 64
 
 
 def quantile_name(column: str, prob: float) -> str:
     return f"{column}_q{prob * 100:g}".replace(".", "_")
 
 
-def _brackets(df: DataFrame, cols, probs, by) -> DataFrame:
-    edges = F.array(*[
-        F.lit(min(max(p + side * BRACKET_MARGIN, 0.0), 1.0)) for p in probs for side in (-1, 1)
-    ])
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs.append(F.percentile_approx(F.col(c).cast("double"), edges, F.lit(SKETCH_ACCURACY)).alias(f"_e{i}"))
-        aggs.append(F.count(c).alias(f"_n{i}"))
-    return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+def _sketches(narrow: DataFrame, cols, by) -> DataFrame:
+    """``_s{i}`` and ``_n{i}`` per group: sketch and count of each column, first per bucket of partitions."""
+    bucket = F.pmod(F.spark_partition_id(), F.lit(SKETCH_BUCKETS)).alias("_bucket")
+    parts = narrow.groupBy(*by, bucket).agg(*[
+        agg for i, c in enumerate(cols)
+        for agg in (F.kll_sketch_agg_double(c, SKETCH_SIZE).alias(f"_s{i}"), F.count(c).alias(f"_n{i}"))])
+    return parts.groupBy(*by).agg(*[
+        agg for i in range(len(cols))
+        for agg in (F.kll_merge_agg_double(F.when(F.col(f"_n{i}") > 0, F.col(f"_s{i}"))).alias(f"_s{i}"),
+                    F.sum(f"_n{i}").alias(f"_n{i}"))])
 
 
-def _targets(cols, probs) -> Column:
-    """Array of one struct per (column, probability) with the row's value and its bracket."""
-    return F.array(*[
-        F.struct(
-            F.lit(i).alias("c"), F.lit(j).alias("p"), F.col(c).cast("double").alias("v"),
-            F.col(f"_e{i}")[2 * j].alias("lo"), F.col(f"_e{i}")[2 * j + 1].alias("hi"),
-            F.col(f"_n{i}").alias("n"),
-        )
-        for i, c in enumerate(cols) for j in range(len(probs))
-    ])
+def _brackets(sketches: DataFrame, cols, probs, by, margin: float) -> DataFrame:
+    """``_e{i}`` per group: the two values around each probability, in turn."""
+    edges = F.array(*[F.lit(min(max(p + side * margin, 0.0), 1.0)) for p in probs for side in (-1, 1)])
+    return sketches.select(*by, *[
+        out for i in range(len(cols))
+        for out in (F.when(F.col(f"_n{i}") > 0, F.kll_sketch_get_quantile_double(f"_s{i}", edges)).alias(f"_e{i}"), F.col(f"_n{i}"))])
 
 
-def _value_at(rank: Column, failed: Column) -> Column:
-    """Value of a zero-based rank from rows carrying cumulative counts."""
+def _value_at(rank: Column) -> Column:
+    """Value of a zero-based rank from rows carrying cumulative counts; null when the bracket misses it."""
     hit = (F.col("before") <= rank) & (rank < F.col("upto"))
-    inside = F.col("zone") == 0
-    just_below = (F.col("zone") == -1) & (rank == F.col("upto") - 1)
-    just_above = (F.col("zone") == 1) & (rank == F.col("before"))
     value = (
-        F.when(hit & inside, F.col("lowest"))
-        .when(hit & just_below, F.col("highest"))
-        .when(hit & just_above, F.col("lowest"))
-        .when(hit, failed)
+        F.when(F.col("zone") == 0, F.col("value"))
+        .when((F.col("zone") < 0) & (rank == F.col("upto") - 1), F.col("edge"))
+        .when((F.col("zone") > 0) & (rank == F.col("before")), F.col("edge"))
     )
-    return F.max(value)
+    return F.max(F.when(hit, value))
+
+
+def _solve(narrow: DataFrame, brackets: DataFrame, cols, probs, by) -> DataFrame:
+    """``c``, ``p``, ``n``, ``q`` per group, column and probability; ``q`` is null where a bracket missed."""
+    wanted = [(i, j, c) for i, c in enumerate(cols) for j in range(len(probs))]
+    low = {(i, j): F.col(f"_e{i}")[2 * j] for i, j, _ in wanted}
+    high = {(i, j): F.col(f"_e{i}")[2 * j + 1] for i, j, _ in wanted}
+    joined = narrow.join(brackets, by) if by else narrow.crossJoin(F.broadcast(brackets))
+
+    # one row for the sums, and one for each value inside a bracket
+    inside = F.filter(F.array(*[
+        F.when(F.col(c).between(low[i, j], high[i, j]), F.struct(F.lit(i).alias("c"), F.lit(j).alias("p"), F.col(c).alias("v")))
+        for i, j, c in wanted]), lambda t: t.isNotNull())
+    nothing = F.struct(F.lit(-1).alias("c"), F.lit(-1).alias("p"), F.lit(None).cast("double").alias("v"))
+    cells = joined.select(*by, *cols, *[f"_e{i}" for i in range(len(cols))], *[f"_n{i}" for i in range(len(cols))],
+                          F.explode(F.concat(F.array(nothing), inside)).alias("_t"))
+    sums = [F.count("*").alias("rows"), *[F.max(f"_n{i}").alias(f"_n{i}") for i in range(len(cols))]]
+    for i, j, c in wanted:
+        own = F.col("_t.c") == -1
+        below, above = own & (F.col(c) < low[i, j]), own & (F.col(c) > high[i, j])
+        sums += [F.count_if(below).alias(f"_b{i}_{j}"), F.max(F.when(below, F.col(c))).alias(f"_bv{i}_{j}"),
+                 F.count_if(above).alias(f"_a{i}_{j}"), F.min(F.when(above, F.col(c))).alias(f"_av{i}_{j}")]
+    counted = cells.groupBy(*by, F.col("_t.c").alias("c"), F.col("_t.p").alias("p"), F.col("_t.v").alias("value")).agg(*sums)
+
+    def row(c, p, zone, rows, value, edge, n):
+        return F.struct(c.alias("c"), p.alias("p"), zone.alias("zone"), rows.alias("rows"), value.alias("value"),
+                        edge.alias("edge"), n.alias("n"))
+
+    none = F.lit(None).cast("double")
+    outside = F.array(*[
+        row(F.lit(i), F.lit(j), F.lit(zone), F.col(f"_{kind}{i}_{j}"), none, F.col(f"_{kind}v{i}_{j}"), F.col(f"_n{i}"))
+        for i, j, _ in wanted for zone, kind in ((-1, "b"), (1, "a"))])
+    n_of = F.element_at(F.array(*[F.col(f"_n{i}") for i in range(len(cols))]), F.col("c") + 1)
+    own = F.when(F.col("c") >= 0, F.array(row(F.col("c"), F.col("p"), F.lit(0), F.col("rows"), F.col("value"), none, n_of)))
+    ranked = counted.select(*by, F.explode(F.when(F.col("c") < 0, outside).otherwise(own)).alias("_r")).select(*by, "_r.*")
 
+    along = Window.partitionBy(*by, "c", "p").orderBy("zone", "value")
+    ranked = (
+        ranked.withColumn("upto", F.sum("rows").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("before", F.col("upto") - F.col("rows"))
+        .withColumn("pos", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("p") + 1) * (F.col("n") - 1))
+    )
+    found = ranked.groupBy(*by, "c", "p").agg(
+        _value_at(F.floor("pos")).alias("low"), _value_at(F.ceil("pos")).alias("high"), F.max("pos").alias("pos"), F.max("n").alias("n"))
+    part = F.col("pos") - F.floor("pos")
+    return found.select(*by, "c", "p", "n", F.when(part == 0, F.col("low")).otherwise(
+        F.col("low") + (F.col("high") - F.col("low")) * part).alias("q"))
 
-def exact_quantiles(df: DataFrame, cols, probs, by=()) -> DataFrame:
+
+def exact_quantiles(df: DataFrame, cols, probs, by=(), margin: float = MARGIN) -> DataFrame:
     """Linear-interpolated quantiles, one row per group.
 
-    Columns are named ``{column}_q{percent}``, for example ``no2_q75``. Nulls are left
-    out; a group without values gets null.
+    Columns are named ``{column}_q{percent}``, for example ``no2_q75``. Nulls and NaN are left
+    out; a group without values gets null. The table is computed when the function is called, in two passes over
+    ``df``; without groups it is one row that is held by the driver, else it is cached. A
+    pass is repeated with wider brackets as long as one has missed its rank.
     """
     cols, probs, by = list(cols), list(probs), list(by)
     if not cols:
         raise ValueError("no columns given")
-    narrow = df.select(*by, *cols)
-    brackets = _brackets(narrow, cols, probs, by)
+    numbers = {c: F.col(c).cast("double") for c in cols}
+    narrow = df.select(*by, *[F.when(~F.isnan(v), v).alias(f"_v{i}") for i, v in enumerate(numbers.values())])
+    names = [f"_v{i}" for i in range(len(cols))]
+    sketches = _sketches(narrow, names, by)
     if by:
-        sketched = narrow.join(broadcast_if_small(brackets, counted=narrow.select(*by).distinct()), by)
+        sketches = sketches.persist()
     else:
-        sketched = attach_scalars(narrow, brackets)
-
-    cell = sketched.select(*by, F.explode(_targets(cols, probs)).alias("t")).select(*by, "t.*")
-    zone = F.when(F.col("v") < F.col("lo"), -1).when(F.col("v") > F.col("hi"), 1).otherwise(0)
-    counted = (
-        cell.filter(F.col("v").isNotNull())
-        .withColumn("zone", zone)
-        .groupBy(*by, "c", "p", "n", "zone", F.when(F.col("zone") == 0, F.col("v")).alias("value"))
-        .agg(F.count("*").alias("rows"), F.min("v").alias("lowest"), F.max("v").alias("highest"))
-    )
-    along = Window.partitionBy(*by, "c", "p").orderBy("zone", "value")
-    ranked = (
-        counted.withColumn("upto", F.sum("rows").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("before", F.col("upto") - F.col("rows"))
-    )
-    prob = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("p") + 1)
-    ranked = ranked.withColumn("pos", prob * (F.col("n") - 1))
-    failed = F.raise_error(F.lit("quantile bracket missed its rank")).cast("double")
-    found = ranked.groupBy(*by, "c", "p").agg(
-        _value_at(F.floor("pos"), failed).alias("low"),
-        _value_at(F.ceil("pos"), failed).alias("high"),
-        F.max("pos").alias("pos"),
-    )
-    part = F.col("pos") - F.floor("pos")
-    found = found.withColumn("q", F.when(part == 0, F.col("low")).otherwise(
-        F.col("low") + (F.col("high") - F.col("low")) * part))
+        schema = sketches.schema
+        sketches = df.sparkSession.createDataFrame([tuple(sketches.first())], schema)
     wide = [
         F.max(F.when((F.col("c") == i) & (F.col("p") == j), F.col("q"))).alias(quantile_name(c, p))
         for i, c in enumerate(cols) for j, p in enumerate(probs)
     ]
-    if not by:
-        return found.agg(*wide)
-    return brackets.select(*by).join(found.groupBy(*by).agg(*wide), by, "left")
+    missed = F.max(F.when((F.col("n") > 0) & F.col("q").isNull(), 1).otherwise(0)).alias("_missed")
+    while True:
+        brackets = _brackets(sketches, names, probs, by, margin)
+        if not by:
+            brackets = df.sparkSession.createDataFrame([tuple(brackets.first())], brackets.schema)
+        found = _solve(narrow, broadcast_if_small(brackets) if by else brackets, names, probs, by)
+        found = found.groupBy(*by).agg(*wide, missed) if by else found.agg(*wide, missed)
+        if by:
+            found = found.persist()
+            again = not found.filter("_missed = 1").isEmpty()
+        else:
+            row = found.first()
+            again = row["_missed"] == 1
+        if not again or margin >= 1.0:
+            break
+        margin *= WIDER
+    if by:
+        return sketches.select(*by).join(found.drop("_missed"), by, "left")
+    return df.sparkSession.createDataFrame([tuple(row)[:-1]], found.drop("_missed").schema)
