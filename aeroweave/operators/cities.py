@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from aeroweave.dims import CITIES, city_aliases
@@ -55,6 +55,13 @@ def _city_structs(cities) -> Column:
     ])
 
 
+def city_table(spark: SparkSession, cities=CITIES) -> DataFrame:
+    """The city list as a table."""
+    return spark.createDataFrame(
+        [(c.city_key, c.name, c.official_name, c.lat, c.lon) for c in cities],
+        "city_key string, name string, official_name string, lat double, lon double")
+
+
 def match_station_city(stations: DataFrame, cities=CITIES, column: str = "city") -> DataFrame:
     """One row per station and city it belongs to, adding ``city_key``.
 

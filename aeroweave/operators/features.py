@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroweave.dims import dim_holiday, dim_traffic_holiday
+from aeroweave.dims.holidays import PRE_HOLIDAY_NAME
 from aeroweave.functions import air, binning, calendar, weather
 from aeroweave.functions.numeric import clip_range, row_mean
 from aeroweave.operators.lags import pressure_and_lags
@@ -43,10 +44,15 @@ def tag_holidays(df: DataFrame, holidays: DataFrame | None = None, ts: str = "da
 
 
 def tag_traffic_holidays(df: DataFrame) -> DataFrame:
-    """Traffic calendar: days before a holiday are flagged and named too."""
-    return tag_holidays(df, dim_traffic_holiday(df.sparkSession)).withColumn(
-        "is_holiday", F.col("is_holiday").cast("boolean")
-    )
+    """Traffic calendar: ``is_holiday``, ``is_pre_holiday`` and the name, which days before a holiday have too.
+
+    Rush hours are lifted by holidays alone, so the two flags stay apart.
+    """
+    named = tag_holidays(df, dim_traffic_holiday(df.sparkSession))
+    before = F.col("holiday_name") == PRE_HOLIDAY_NAME
+    return named.withColumns({
+        "is_holiday": F.col("is_holiday").cast("boolean") & ~before, "is_pre_holiday": before,
+    })
 
 
 def transform_categories(df: DataFrame, holidays: DataFrame | None = None, ts: str = "datetime") -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from aeroweave.dims import UNIT_RANGES, dim_description
 from aeroweave.dims.descriptions import NO_DESCRIPTION
 from aeroweave.functions.calendar import hour_floor, seconds_between
-from aeroweave.operators.aggregates import completeness, date_range, distinct_cities, null_counts, records_per_city
+from aeroweave.operators.aggregates import null_counts
+from aeroweave.operators.schema import SEQ
 from aeroweave.plans.chunks import TARGET_ROWS
 from aeroweave.plans.quantiles import exact_quantiles, quantile_name
 from aeroweave.plans.shift import Shift, shift_rows
@@ -41,23 +42,31 @@ def _numbers(df: DataFrame, cols=None) -> list[str]:
 
 
 def validate_gold(df: DataFrame, expected_hours: int | None = None) -> DataFrame:
-    """check, column, value: nulls, time range, cities, rows per city and completeness."""
-    nulls = null_counts(df).filter(F.col("nulls") > 0).select(
-        F.lit("nulls").alias("check"), F.col("column"), F.col("nulls").cast("double").cast("string").alias("value")
-    )
-
-    def as_checks(table: DataFrame) -> DataFrame:
-        texts = table.select(*[F.col(c).cast("string").alias(c) for c in table.columns])
-        return texts.unpivot([], texts.columns, "check", "value").select(
-            "check", F.lit(None).cast("string").alias("column"), "value"
-        )
+    """check, column, value: nulls and their percentage, time range, cities, rows per city and completeness.
 
-    ends = date_range(df).withColumnsRenamed({"first": "datetime_min", "last": "datetime_max"})
-    per_city = records_per_city(df)
-    complete = completeness(df, expected_hours).select("completeness_pct")
-    return reduce(DataFrame.unionByName, [
-        nulls, as_checks(ends), as_checks(distinct_cities(df)), as_checks(per_city), as_checks(complete),
-    ])
+    One aggregate per city over the table, and one over the few rows of cities.
+    """
+    cols = [c for c in df.columns if c != SEQ]
+    per_city = df.groupBy(F.col("city_key").alias("_city")).agg(
+        F.count("*").alias("_rows"), F.min("datetime").alias("_first"), F.max("datetime").alias("_last"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(cols)])
+    span = (F.unix_micros(F.date_trunc("hour", F.max("_last"))) - F.unix_micros(F.date_trunc("hour", F.min("_first")))) / F.lit(3.6e9) + 1
+    whole = per_city.agg(
+        F.sum("_rows").alias("rows"), F.min("_first").alias("first"), F.max("_last").alias("last"), F.count("_city").alias("cities"),
+        F.min("_rows").alias("least"), F.max("_rows").alias("most"), F.avg("_rows").alias("mean"),
+        (F.lit(expected_hours) if expected_hours else span).cast("bigint").alias("hours"),
+        *[F.sum(f"_null_{i}").alias(f"_null_{i}") for i in range(len(cols))])
+    checks = [("nulls", c, F.col(f"_null_{i}").cast("double")) for i, c in enumerate(cols)]
+    checks += [("null_pct", c, F.try_divide(F.col(f"_null_{i}"), F.col("rows")) * 100) for i, c in enumerate(cols)]
+    checks += [
+        ("datetime_min", None, F.col("first")), ("datetime_max", None, F.col("last")), ("cities", None, F.col("cities")),
+        ("min_records", None, F.col("least")), ("max_records", None, F.col("most")), ("mean_records", None, F.col("mean")),
+        ("expected_hours", None, F.col("hours")), ("completeness_pct", None, F.try_divide(F.col("mean"), F.col("hours")) * 100)]
+    rows = F.array(*[
+        F.struct(F.lit(check).alias("check"), F.lit(column).cast("string").alias("column"), value.cast("string").alias("value"),
+                 (F.col(f"_null_{cols.index(column)}") > 0 if column else F.lit(True)).alias("_shown"))
+        for check, column, value in checks])
+    return whole.select(F.explode(rows).alias("_c")).select("_c.*").filter("_shown").drop("_shown")
 
 
 def _with_known(df: DataFrame, rows: list[tuple], names: tuple[str, ...], column: str) -> DataFrame:

@@ -117,6 +117,11 @@ def pearson_tests(df: DataFrame, pairs=TESTED_PAIRS, by=()) -> DataFrame:
     return named.withColumn("p_value", p).withColumn("significance", significance(F.col("p_value")))
 
 
+def scatter_tests(df: DataFrame, pairs=SCATTER_PAIRS) -> DataFrame:
+    """r and p of each relationship that is plotted, next to :func:`scatter_points`."""
+    return pearson_tests(df, pairs)
+
+
 def scatter_points(df: DataFrame, pairs=SCATTER_PAIRS) -> DataFrame:
     """predictor, pollutant, x, y for every row where both sides of a pair are known."""
     pairs = [(x, y) for x, y in pairs if x in df.columns and y in df.columns]

@@ -59,9 +59,7 @@ SHARED = """(select city_key from silver_weather intersect select city_key from
 
 def _clean_all(t):
     feeds = zip(("weather", "air_quality", "traffic"), clean.clean_all(*t.bronze))
-    return merge.union_feeds([
-        df.groupBy("city_key").agg(F.count("*").alias("rows")).withColumn("feed", F.lit(name)) for name, df in feeds
-    ])
+    return merge.union_feeds([df.withColumn("feed", F.lit(name)) for name, df in feeds])
 
 
 ENTRIES: dict[str, Entry] = {
@@ -89,12 +87,10 @@ ENTRIES: dict[str, Entry] = {
         "select _seq, no2, pm10, pm25 from bronze_air where no2 is not null and pm10 is not null",
         "bronze_air", doubles="no2 pm10 pm25"),
     "drop_sparse_columns": entry(
-        lambda t: schema.drop_sparse_columns(t.feed("bronze_weather"), ["wpgt", "tsun", "dwpt"])
-        .drop("temperature", "pressure", "snow"),
-        """select city_key, datetime, _seq, humidity, wind_speed, precipitation, wind_direction,
-            coalesce(tsun, (select quantile_cont(tsun, 0.5) from bronze_weather)) as tsun, temp_min, temp_max
+        lambda t: schema.drop_sparse_columns(t.feed("bronze_weather"), ["wpgt", "tsun", "dwpt"]),
+        """select * exclude (wpgt, tsun), coalesce(tsun, (select quantile_cont(tsun, 0.5) from bronze_weather)) as tsun
         from bronze_weather""", "bronze_weather",
-        doubles="humidity wind_speed precipitation wind_direction tsun temp_min temp_max"),
+        doubles="temperature humidity wind_speed precipitation pressure wind_direction snow tsun temp_min temp_max"),
     "median_fill": entry(
         lambda t: schema.median_fill(t.feed("bronze_air").select("_seq", "no2", "pm10"), ["no2", "pm10"]),
         """select _seq, coalesce(no2, (select quantile_cont(no2, 0.5) from bronze_air)) as no2,
@@ -150,10 +146,9 @@ ENTRIES: dict[str, Entry] = {
         METRICS_SQL, "first_weather", "first_air", "first_traffic"),
     "clean_all": entry(
         _clean_all,
-        " union all ".join(
-            f"""select city_key, count(*) as rows, '{name}' as feed from {relation}
-            where city_key in {SHARED} group by city_key"""
+        " union all by name ".join(
+            f"""select *, '{name}' as feed from {relation} where city_key in {SHARED}"""
             for name, relation in (("weather", "silver_weather"), ("air_quality", "silver_air"),
                                    ("traffic", "silver_traffic"))),
-        "silver_weather", "silver_air", "silver_traffic"),
+        "silver_weather", "silver_air", "silver_traffic", doubles=f"{SILVER_WEATHER} {SILVER_AIR} {SILVER_TRAFFIC}"),
 }

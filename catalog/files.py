@@ -7,13 +7,16 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroweave.operators import merge
+from aeroweave.operators import fills, merge
 from aeroweave.session import ensure_checkpoint_dir
 from aeroweave.sources import feeds, payloads, readers, writers
+from catalog.cleaning import SILVER_TRAFFIC
 from catalog.entry import Entry, entry
 
 EVENT_COLUMNS = ("event_id", "ts", "event_type", "value")
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, event_type string, value double"
+FEED_DOUBLES = ("temperature humidity wind_speed precipitation pressure wind_direction snow wpgt tsun temp_min temp_max "
+                "current_speed free_flow_speed confidence congestion_level traffic_index")
 EVENTS_SQL = "select event_id, ts, event_type, value from events"
 
 
@@ -61,21 +64,35 @@ def _load_feeds(t) -> DataFrame:
         "air_quality": f"{folder}/air_quality.csv",
         "traffic": f"{folder}/traffic.parquet",
     })
-    return merge.union_feeds([
-        df.agg(F.count("*").alias("rows")).withColumn("feed", F.lit(name)) for name, df in loaded.items()
-    ])
+    return merge.union_feeds([df.withColumn("feed", F.lit(name)) for name, df in loaded.items()])
 
 
 def _dual(t) -> DataFrame:
     base = f"{_folder(t)}/silver"
-    silver = t.silver_traffic.select("city_key", "datetime", "date", "hour", "traffic_index", "holiday_name")
-    writers.save_dual(merge.sort_city_time(silver), base)
+    writers.save_dual(merge.sort_city_time(t.silver_traffic), base)
     parquet = readers.scan_parquet(t.spark, f"{base}.parquet").withColumn("copy", F.lit("parquet"))
     kinds = ", ".join(f"{c} {kind}" for c, kind in parquet.drop("copy").dtypes)
     csv = readers.scan_csv(t.spark, f"{base}.csv", kinds).fillna("").withColumn("copy", F.lit("csv"))
     return parquet.unionByName(csv)
 
 
+def _source_order(t) -> DataFrame:
+    """Events written in time order, read back, and the first of each kind and day by its place in the files."""
+    rows = t.read("events").select("event_id", "event_type", F.to_date("ts").alias("day"), "value", "ts").orderBy("ts", "event_id").drop("ts")
+    kinds, found = "event_id bigint, event_type string, day date, value double", []
+    for fmt in ("parquet", "csv"):
+        path = f"{_folder(t)}/ordered.{fmt}"
+        writers.save(rows, path, fmt)
+        read = readers.load(t.spark, path, kinds, source_order=True)
+        found.append(fills.dedupe_keep_first(read, ("event_type", "day")).drop("_seq").withColumn("format", F.lit(fmt)))
+    return merge.union_feeds(found)
+
+
+def _air_from_payloads(t) -> DataFrame:
+    stations = t.read("customer").selectExpr(f"{STATION_PAYLOAD} as payload")
+    return payloads.air_from_payloads(stations, t.read("events").selectExpr(f"{MEASUREMENT_PAYLOAD} as payload"))
+
+
 def _by_city(t) -> DataFrame:
     path = f"{_folder(t)}/cities"
     writers.save_by_city(t.feed("bronze_weather").select("city_key", "_seq", "humidity"), path)
@@ -124,7 +141,7 @@ STATION_PAYLOAD = """concat('{"data":{"', cast(c_custkey as string), '":["', cas
 MEASUREMENT_PAYLOAD = """concat('{"data":{"', cast(user_id as string), '":{"',
     date_format(ts, 'yyyy-MM-dd HH:mm:ss'), '":["', date_format(ts, 'yyyy-MM-dd HH:59:59'), '",1,0',
     case when event_id % 10 = 0 then '' else concat(
-        ',[5,', case when event_id % 7 = 0 then 'null' else cast(value as string) end, ',0,"1"],[5,999.0,0,"2"]') end,
+        case when event_id % 6 = 0 then ',[5.0,' else ',[5,' end, case when event_id % 7 = 0 then 'null' else cast(value as string) end, ',0,"1"],[5,999.0,0,"2"]') end,
     case when event_id % 4 = 0 then ',[1,20,0,"1"]' else '' end,
     case when event_id % 9 = 0 then ',[3]' else '' end, ']}}}')"""
 
@@ -162,17 +179,34 @@ ENTRIES: dict[str, Entry] = {
     "latest_snapshot": entry(_latest, EVENTS_SQL, doubles="value"),
     "load_feeds": entry(
         _load_feeds,
-        """select count(*) as rows, 'weather' as feed from bronze_weather
-        union all select count(*), 'traffic' from bronze_traffic""", "bronze_weather", "bronze_traffic"),
+        """select *, 'weather' as feed from bronze_weather
+        union all by name select *, 'traffic' as feed from bronze_traffic""", "bronze_weather", "bronze_traffic",
+        doubles=FEED_DOUBLES),
     "sink_parquet": entry(lambda t: readers.load(t.spark, _written(t, "parquet")), EVENTS_SQL, doubles="value"),
     "sink_csv": entry(lambda t: readers.load(t.spark, _written(t, "csv"), EVENT_SCHEMA), EVENTS_SQL, doubles="value"),
     "sink_json": entry(
         lambda t: t.spark.read.schema(EVENT_SCHEMA).json(_written(t, "json")), EVENTS_SQL, doubles="value"),
     "sink_dual": entry(
         _dual,
-        """select city_key, datetime, cast(date as varchar) as date, hour, traffic_index, holiday_name, c.copy
+        """select * replace (cast(date as varchar) as date)
         from silver_traffic cross join (values ('parquet'), ('csv')) c(copy)""",
-        "silver_traffic", doubles="traffic_index"),
+        "silver_traffic", doubles=SILVER_TRAFFIC),
+    "source_order": entry(
+        _source_order,
+        """select event_id, event_type, day, value, f.format from (
+            select event_id, event_type, cast(ts as date) as day, value from events
+            qualify row_number() over (partition by event_type, cast(ts as date) order by ts, event_id) = 1)
+        cross join (values ('parquet'), ('csv')) f(format)""", doubles="value"),
+    "air_from_payloads": entry(
+        _air_from_payloads,
+        f"""with s as (select cast(c_custkey as varchar) as station_id, concat('Station ', c_mktsegment) as station_name
+                from customer where c_custkey % 5 <> 0 order by cast(c_custkey as varchar) limit 1),
+            m as ({MEASUREMENT_SQL})
+        select 'Berlin' as city, 'berlin' as city_key, datetime, cast(datetime as date) as date,
+            cast(hour(datetime) as integer) as hour, station_name, station_id,
+            avg(value) filter (where component = 'NO2') as no2, avg(value) filter (where component = 'PM10') as pm10,
+            null::double as o3
+        from m join s using (station_id) group by datetime, station_name, station_id""", doubles="no2 pm10 o3"),
     "sink_by_city": entry(
         _by_city, "select city_key, _seq, humidity from bronze_weather", "bronze_weather", doubles="humidity"),
     "import_station_csv": entry(

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aeroweave.dims import national_holidays
-from aeroweave.dims.holidays import PRE_HOLIDAY_DATES, PRE_HOLIDAY_NAME, TRAFFIC_DAYS
 from aeroweave.functions import air, binning, calendar, numeric, traffic, weather
 from aeroweave.operators import features
 from catalog.entry import Entry, entry
@@ -39,11 +37,28 @@ def _weekday():
     return F.weekday("ts")
 
 
-HOLIDAYS = ", ".join(f"(date '{d}', '{n}')" for d, n in national_holidays())
-TRAFFIC_HOLIDAYS = ", ".join(
-    [f"(date '{d}', '{n}')" for d, (n, _) in TRAFFIC_DAYS.items()]
-    + [f"(date '{d}', '{PRE_HOLIDAY_NAME}')" for d in PRE_HOLIDAY_DATES]
-)
+# expected values, written out: the national holidays of 2023 and 2024, and the traffic calendar
+HOLIDAYS = """
+    (date '2023-01-01', 'Neujahr'), (date '2023-04-07', 'Karfreitag'), (date '2023-04-10', 'Ostermontag'),
+    (date '2023-05-01', 'Erster Mai'), (date '2023-05-18', 'Christi Himmelfahrt'), (date '2023-05-29', 'Pfingstmontag'),
+    (date '2023-10-03', 'Tag der Deutschen Einheit'), (date '2023-12-25', 'Erster Weihnachtstag'),
+    (date '2023-12-26', 'Zweiter Weihnachtstag'),
+    (date '2024-01-01', 'Neujahr'), (date '2024-03-29', 'Karfreitag'), (date '2024-04-01', 'Ostermontag'),
+    (date '2024-05-01', 'Erster Mai'), (date '2024-05-09', 'Christi Himmelfahrt'), (date '2024-05-20', 'Pfingstmontag'),
+    (date '2024-10-03', 'Tag der Deutschen Einheit'), (date '2024-12-25', 'Erster Weihnachtstag'),
+    (date '2024-12-26', 'Zweiter Weihnachtstag')"""
+TRAFFIC_HOLIDAYS = """
+    (date '2024-01-01', 'New Year', true), (date '2024-01-06', 'Epiphany', true), (date '2024-03-29', 'Good Friday', true),
+    (date '2024-03-31', 'Easter Sunday', true), (date '2023-12-31', 'Pre-Holiday Travel', false),
+    (date '2024-03-28', 'Pre-Holiday Travel', false), (date '2024-03-30', 'Pre-Holiday Travel', false)"""
+# events end on 30 January; half of them are moved to late March and early April, where the calendars have most days
+MOVED = "case when event_id % 2 = 0 then ts + interval 75 days else ts end"
+
+
+def _moved(t):
+    return t.feed("readings").withColumn(
+        "ts", F.when(F.col("event_id") % 2 == 0, F.col("ts") + F.expr("interval 75 days")).otherwise(F.col("ts"))).withColumn(
+        "datetime", F.col("ts"))
 
 
 def _piecewise(column: str, points) -> str:
@@ -64,11 +79,11 @@ def _aqi(name, column, expression, points) -> dict[str, Entry]:
 
 
 def _holiday_run(t):
-    return features.tag_holidays(t.feed("readings")).select("event_id", "is_holiday", "holiday_name")
+    return features.tag_holidays(_moved(t)).select("event_id", "is_holiday", "holiday_name")
 
 
 def _traffic_holiday_run(t):
-    return features.tag_traffic_holidays(t.feed("readings")).select("event_id", "is_holiday", "holiday_name")
+    return features.tag_traffic_holidays(_moved(t)).select("event_id", "is_holiday", "is_pre_holiday", "holiday_name")
 
 
 ENTRIES: dict[str, Entry] = {
@@ -113,11 +128,12 @@ ENTRIES: dict[str, Entry] = {
         """select event_id, case when hour(ts) in (7, 8, 9) then 'morning' when hour(ts) in (17, 18, 19)
             then 'evening' else 'none' end as rush_hour from readings""", "readings"),
     "is_rush_hour": entry(
-        lambda t: features.tag_traffic_holidays(t.feed("readings")).select(
+        lambda t: features.tag_traffic_holidays(_moved(t)).select(
             "event_id", calendar.is_rush_hour(_hour(), _weekday(), F.col("is_holiday")).alias("is_rush_hour")),
-        f"""select event_id, (hour(ts) in (7, 8, 9) or hour(ts) in (17, 18, 19)) and isodow(ts) <= 5 and h.d is null
-            as is_rush_hour
-        from readings left join (values {TRAFFIC_HOLIDAYS}) h(d, name) on cast(ts as date) = h.d""", "readings"),
+        f"""select event_id, (hour(m) in (7, 8, 9) or hour(m) in (17, 18, 19)) and isodow(m) <= 5
+            and not coalesce(h.free, false) as is_rush_hour
+        from (select event_id, {MOVED} as m from readings) left join (values {TRAFFIC_HOLIDAYS}) h(d, name, free)
+            on cast(m as date) = h.d""", "readings"),
     "time_period": entry(
         _readings(lambda: dict(time_period=calendar.time_period(_hour()))),
         f"select event_id, {PERIOD.format(h='hour(ts)')} as time_period from readings", "readings"),
@@ -127,11 +143,14 @@ ENTRIES: dict[str, Entry] = {
     "is_holiday": entry(
         _holiday_run,
         f"""select event_id, case when h.d is null then 0 else 1 end as is_holiday, coalesce(h.name, '') as holiday_name
-        from readings left join (values {HOLIDAYS}) h(d, name) on cast(ts as date) = h.d""", "readings"),
+        from (select event_id, {MOVED} as m from readings) left join (values {HOLIDAYS}) h(d, name) on cast(m as date) = h.d""",
+        "readings"),
     "holiday_join": entry(
         _traffic_holiday_run,
-        f"""select event_id, h.d is not null as is_holiday, coalesce(h.name, '') as holiday_name
-        from readings left join (values {TRAFFIC_HOLIDAYS}) h(d, name) on cast(ts as date) = h.d""", "readings"),
+        f"""select event_id, coalesce(h.free, false) as is_holiday, coalesce(not h.free, false) as is_pre_holiday,
+            coalesce(h.name, '') as holiday_name
+        from (select event_id, {MOVED} as m from readings) left join (values {TRAFFIC_HOLIDAYS}) h(d, name, free)
+            on cast(m as date) = h.d""", "readings"),
     **_label("cut", "steps", lambda c: binning.cut(c, (-10, 0, 25, 50), ("a", "b", "c"), include_lowest=True),
              (-10, 0, 25, 50), ("a", "b", "c"), True),
     **_label("weather_condition", "steps", binning.weather_condition, (INF, 5, 20, INF), ("cold", "mild", "warm")),

@@ -38,7 +38,8 @@ CITY_PAIRS = [(x, y) for x in stats.POLLUTANTS for y in stats.CITY_COLUMNS if y
 TOP_PAIRS = [(x, y) for x in stats.POLLUTANTS for y in STUDY if y != x]
 
 # Two-sided p-value of t with whole degrees of freedom v, by the finite trigonometric series
-TESTS_SQL = """select upper(y) as pollutant, x as predictor, r as correlation, n, p as p_value,
+def _tests_sql(pairs) -> str:
+    return """select upper(y) as pollutant, x as predictor, r as correlation, n, p as p_value,
     case when p < 0.001 then '***' when p < 0.01 then '**' when p < 0.05 then '*' else '' end as significance
 from (
     select x, y, r, n, 1 - case when v % 2 = 0 then abs(r) * even_sum
@@ -50,7 +51,10 @@ from (
             coalesce((select sum(exp(lgamma(0.5) - ln(2.0) + lgamma(k + 1.0) - lgamma(k + 1.5)
                     + (k + 0.5) * ln(1 - r * r)))
                 from range(0, (v - 1) // 2) s(k)), 0) as odd_sum
-        from (select *, n - 2 as v from (""" + _pairs_sql(stats.TESTED_PAIRS) + """) where n > 2)))"""
+        from (select *, n - 2 as v from (""" + _pairs_sql(pairs) + """) where n > 2)))"""
+
+
+TESTS_SQL, SCATTER_TESTS_SQL = _tests_sql(stats.TESTED_PAIRS), _tests_sql(stats.SCATTER_PAIRS)
 
 TERMS = stats.REGRESSION_PREDICTORS
 
@@ -108,7 +112,7 @@ SCATTER_SQL = " union all ".join(
 )
 
 READING_COLUMNS = ("temperature", "humidity", "wind_speed", "pressure", "no2", "pm10", "pm25", "o3", "traffic_index")
-SUMMARY_COLUMNS = ("no2", "pm10", "temperature")
+SUMMARY_COLUMNS = READING_COLUMNS
 
 
 def _statistics_sql(by: str = "") -> str:
@@ -162,13 +166,17 @@ GROUPS_SQL = " union all ".join(
     for g, cols in quality.COLUMN_GROUPS.items() for c in cols if c in GOLD_COLUMNS)
 
 VALIDATE_SQL = " union all ".join(
-    [f"""select 'nulls' as check, '{c}' as column, count(*) - count({c})::double as value from gold
-        having count(*) > count({c})""" for c in GOLD_COLUMNS]
-    + ["select 'cities', null, count(distinct city_key) from gold",
-       "select 'min_records', null, min(n) from (select count(*) as n from gold group by city_key)",
-       "select 'max_records', null, max(n) from (select count(*) as n from gold group by city_key)",
-       "select 'mean_records', null, avg(n) from (select count(*) as n from gold group by city_key)",
-       """select 'completeness_pct', null, 100 * avg(n) / 720 from (select count(*) as n from gold group by city_key)"""])
+    [f"""select '{check}' as check, '{c}' as column, {value} as value, null::varchar as instant from gold
+        having count(*) > count({c})""" for c in GOLD_COLUMNS
+     for check, value in (("nulls", f"(count(*) - count({c}))::double"), ("null_pct", f"100.0::double * (count(*) - count({c})) / count(*)"))]
+    + ["select 'cities', null, count(distinct city_key), null from gold",
+       "select 'datetime_min', null, null, cast(min(datetime) as varchar) from gold",
+       "select 'datetime_max', null, null, cast(max(datetime) as varchar) from gold",
+       "select 'min_records', null, min(n), null from (select count(*) as n from gold group by city_key)",
+       "select 'max_records', null, max(n), null from (select count(*) as n from gold group by city_key)",
+       "select 'mean_records', null, avg(n), null from (select count(*) as n from gold group by city_key)",
+       "select 'expected_hours', null, 720, null",
+       "select 'completeness_pct', null, 100 * avg(n) / 720, null from (select count(*) as n from gold group by city_key)"])
 
 DICTIONARY_KINDS = {"event_id": "bigint", "city_key": "string", "ts": "timestamp_ntz", "temperature": "double",
                     "no2": "double", "wet": "boolean"}
@@ -196,8 +204,9 @@ def _dictionary(t):
 
 
 def _validate(t):
-    checks = quality.validate_gold(t.gold, expected_hours=720).filter(~F.col("check").startswith("datetime"))
-    return checks.withColumn("value", F.col("value").cast("double"))
+    checks = quality.validate_gold(t.gold, expected_hours=720)
+    return checks.select("check", "column", F.col("value").try_cast("double").alias("value"),
+                         F.when(F.col("check").startswith("datetime"), F.col("value")).alias("instant"))
 
 
 def _profile(columns, by: str) -> str:
@@ -254,6 +263,8 @@ ENTRIES: dict[str, Entry] = {
         f"""select x as pollutant, y as variable, r,
             cast(row_number() over (partition by x order by round(abs(r), 12) desc, y) as integer) as rank
         from ({_pairs_sql(TOP_PAIRS)}) where r is not null""", "study", doubles="r"),
+    "scatter_tests": entry(
+        lambda t: stats.scatter_tests(t.study), SCATTER_TESTS_SQL, "study", doubles="correlation p_value"),
     "scatter_points": entry(lambda t: stats.scatter_points(t.study), SCATTER_SQL, "study", doubles="x y"),
     "pearson_tests": entry(
         lambda t: stats.pearson_tests(t.study), TESTS_SQL, "study", doubles="correlation p_value"),
