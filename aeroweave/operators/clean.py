@@ -70,8 +70,11 @@ def _typed(df: DataFrame, feed: str) -> DataFrame:
 
 def _prepared(df: DataFrame, feed: str) -> DataFrame:
     """Casts, fixed replacements and the sparse-column rule."""
+    return _repaired(_typed(df, feed), feed)
+
+
+def _repaired(df: DataFrame, feed: str) -> DataFrame:
     rules = FEEDS[feed]
-    df = _typed(df, feed)
     fixed = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in rules.zero_first if c in df.columns}
     fixed |= {c: F.coalesce(F.col(c), F.lit("")) for c in NOT_CARRIED if c in df.columns}
     return drop_sparse_columns(df.withColumns(fixed) if fixed else df, rules.sparse)
@@ -84,10 +87,10 @@ def _carried(df: DataFrame, feed: str) -> list[str]:
     return [c for c in df.columns if c not in (*NOT_DATA, *NOT_CARRIED, *derived)]
 
 
-def _filled(prepared: DataFrame, feed: str, target_rows: int) -> DataFrame:
+def _filled(prepared: DataFrame, feed: str, target_rows: int, counted: dict[str, str] | None = None) -> DataFrame:
     """Gaps filled per city and one row per city and instant."""
-    carried = _carried(prepared, feed)
-    first = fill_and_keep_first(prepared, carried, target_rows=target_rows)
+    carried = _carried(prepared.drop(*(counted or {})), feed)
+    first = fill_and_keep_first(prepared, carried, target_rows=target_rows, counted=counted)
     return first if feed == "weather" else _zeros(first)
 
 
@@ -162,15 +165,21 @@ def clean_metrics(df: DataFrame, feed: str, target_rows: int = TARGET_ROWS) -> D
     """
     rules = FEEDS[feed]
     typed = _typed(df, feed)
-    prepared = _prepared(df, feed)
-    lost = [c for c in typed.columns if c not in prepared.columns]
     data = [c for c in typed.columns if c not in NOT_DATA]
-    carried = _carried(prepared, feed)
+    # what was known is flagged before anything is repaired, and counted where copies are reduced anyway
+    flags = {f"_f_{c}": F.col(c).isNotNull() for c in data} | {"_f_row": F.lit(True)}
+    prepared = _repaired(typed.withColumns(flags), feed)
+    lost = [c for c in typed.columns if c not in prepared.columns]
+    carried = _carried(prepared.drop(*flags), feed)
+    reduced = _filled(prepared, feed, target_rows, {f: f"_n{f}" for f in flags})
+    checked = {c: r for c, r in rules.ranges.items() if c in reduced.columns}
+    per_city = reduced.groupBy("city_key").agg(
+        F.sum("_n_f_row").alias("rows"), *[F.sum(f"_n_f_{c}").alias(f"_k_{c}") for c in data],
+        F.count("*").alias("_after"),
+        *[F.count_if(outside(F.col(c), r.lo, hi)).alias(f"_{kind}_{c}")
+          for c, r in checked.items() for kind, hi in (("o", r.counted_hi), ("v", r.hi))])
 
     # a carried column keeps its nulls only in cities that never knew a value
-    per_city = typed.groupBy("city_key").agg(
-        F.count("*").alias("rows"), *[F.count(c).alias(f"_k_{c}") for c in data]
-    )
     nulls = {c: F.col("rows") - F.col(f"_k_{c}") for c in data}
     numeric = {c for c, kind in typed.dtypes if kind in ("double", "int", "bigint")}
 
@@ -181,20 +190,16 @@ def clean_metrics(df: DataFrame, feed: str, target_rows: int = TARGET_ROWS) -> D
             return nulls[c]
         return F.when(F.col(f"_k_{c}") > 0, nulls[c]) if c in carried else F.lit(0)
 
-    before = per_city.agg(
-        F.sum("rows").alias("rows_before"),
+    counts = per_city.agg(
+        F.sum("rows").alias("rows_before"), F.sum("_after").alias("rows_after"),
         _sum([F.sum(filled(c)) for c in data if c not in lost]).alias("nulls_filled"),
         _sum([F.sum(nulls[c]) for c in lost]).alias("nulls_dropped"),
+        _sum([F.sum(f"_o_{c}") for c in checked]).alias("outliers_clipped"),
+        _sum([F.sum(f"_v_{c}") for c in checked]).alias("values_clipped"),
     )
-    rows = _filled(prepared, feed, target_rows)
-    checked = {c: r for c, r in rules.ranges.items() if c in rows.columns}
-    after = rows.agg(
-        F.count("*").alias("rows_after"),
-        _sum([F.count_if(outside(F.col(c), r.lo, r.counted_hi)) for c, r in checked.items()]).alias("outliers_clipped"),
-        _sum([F.count_if(outside(F.col(c), r.lo, r.hi)) for c, r in checked.items()]).alias("values_clipped"),
-    )
-    return before.crossJoin(F.broadcast(after)).select(
-        F.lit(feed).alias("feed"), "rows_before", "rows_after",
-        (F.col("rows_before") - F.col("rows_after")).alias("duplicates_removed"),
+    return counts.select(
+        F.lit(feed).alias("feed"), F.coalesce("rows_before", F.lit(0)).alias("rows_before"),
+        F.coalesce("rows_after", F.lit(0)).alias("rows_after"),
+        F.coalesce(F.col("rows_before") - F.col("rows_after"), F.lit(0)).alias("duplicates_removed"),
         "nulls_filled", "nulls_dropped", "outliers_clipped", "values_clipped",
     )

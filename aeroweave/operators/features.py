@@ -14,6 +14,7 @@ from aeroweave.operators.rolling import rolling_mean
 from aeroweave.operators.schema import ensure_datetime
 from aeroweave.plans.chunks import TARGET_ROWS, measure_density
 from aeroweave.plans.quantiles import exact_quantiles, quantile_name
+from aeroweave.plans.shared import written
 from aeroweave.plans.small import attach_scalars, broadcast_if_small
 
 INDEX_POLLUTANTS = ("no2", "pm25", "pm10", "o3")
@@ -196,9 +197,10 @@ def pollution_features(df: DataFrame) -> DataFrame:
 def all_features(df: DataFrame, target_rows: int = TARGET_ROWS, ts: str = "datetime") -> DataFrame:
     """Time, weather, pollution and lag features of a merged table.
 
-    Pressure tendency and lags share one pass over the ordered rows.
+    Pressure tendency and lags share one pass over the ordered rows. The table is looked at several
+    times (density, quantiles, borders of chunks, rows), so it is written once first.
     """
-    # measured on the input: behind the features it would compute their quantiles as well
+    df = written(df, "merged")
     density = measure_density(df, ("city_key",), "datetime")
     featured = pollution_features(weather_features(time_features(df, ts)))
     return pressure_and_lags(featured, LAG_COLUMNS, PIPELINE_LAGS, target_rows=target_rows, density=density)
@@ -207,14 +209,16 @@ def all_features(df: DataFrame, target_rows: int = TARGET_ROWS, ts: str = "datet
 def final_dataset(df: DataFrame, target_rows: int = TARGET_ROWS, ts: str = "datetime") -> DataFrame:
     """Rolling means, interaction terms and all features: the table reports are made from.
 
-    ``ts`` names the clock of the calendar features; order always follows ``datetime``.
+    ``ts`` names the clock of the calendar features; order always follows ``datetime``. The merged table and the
+    rolling means are written once each.
     """
+    df = written(df, "merged")
     density = measure_density(df, ("city_key",), "datetime")
     pollutants = [c for c in INDEX_POLLUTANTS if c in df.columns]
     rolled = df
     if pollutants:
-        rolled = rolling_mean(
+        rolled = written(rolling_mean(
             df, [*pollutants, "temperature", "traffic_index"], target_rows=target_rows, density=density
-        )
+        ), "rolled")
     featured = pollution_features(weather_features(time_features(interaction_terms(rolled), ts)))
     return pressure_and_lags(featured, LAG_COLUMNS, PIPELINE_LAGS, target_rows=target_rows, density=density)

@@ -84,16 +84,20 @@ def fill_ffill_bfill(
 
 
 def fill_and_keep_first(
-    df: DataFrame, fill_cols, keys=KEYS, ts: str = "datetime", seq: str = SEQ, target_rows: int = TARGET_ROWS
+    df: DataFrame, fill_cols, keys=KEYS, ts: str = "datetime", seq: str = SEQ, target_rows: int = TARGET_ROWS,
+    counted: dict[str, str] | None = None,
 ) -> DataFrame:
     """Fill along time, then keep the first row per key and instant, as one aggregation.
 
+    ``counted`` maps names of flag columns to names of new columns: how many rows of an instant have the flag set.
+
     Copies of an instant are first reduced to three values per column: the one of the
     first row, the first known and the last known. That is all the fill ever looks at, and
     it is computed before the shuffle, so a pile of copies never meets in one task.
     """
-    fill_cols = [c for c in fill_cols if c in df.columns]
-    rows = with_seq(df)
+    fill_cols, counted = [c for c in fill_cols if c in df.columns], counted or {}
+    counts = [F.count_if(flag).alias(name) for flag, name in counted.items()]
+    raw, rows = with_seq(df), with_seq(df).drop(*counted)
     others = [c for c in rows.columns if c not in (*keys, ts, seq, *fill_cols)]
     position = F.col(seq)
     aggs = [F.min(seq).alias(seq)]
@@ -101,13 +105,13 @@ def fill_and_keep_first(
     for c in fill_cols:
         known = F.when(F.col(c).isNotNull(), position)
         aggs += [F.min_by(c, known).alias(f"_first_{c}"), F.max_by(c, known).alias(f"_last_{c}")]
-    instants = rows.groupBy(*keys, ts).agg(*aggs)
+    instants = raw.groupBy(*keys, ts).agg(*aggs, *counts)
     density = measure_density(rows, keys, ts)
     if density.rows_in_hottest_hour > target_rows:  # copies of one instant may be all there is to it
         density = measure_density(rows.select(*keys, ts).distinct(), keys, ts)
     chunked = in_chunks(instants, keys, (ts,), target_rows, density)
     columns = {c: (c, f"_last_{c}", f"_first_{c}") for c in fill_cols}
-    return _along_time(chunked, keys, (ts,), columns).select(*rows.columns)
+    return _along_time(chunked, keys, (ts,), columns).select(*rows.columns, *counted.values())
 
 
 def fill_forward_limit1(

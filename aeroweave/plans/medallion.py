@@ -9,12 +9,15 @@ from aeroweave.functions.calendar import to_local_time
 from aeroweave.operators.clean import clean_all
 from aeroweave.operators.features import final_dataset, gold_features, transform_categories
 from aeroweave.operators.grids import to_hourly
-from aeroweave.operators.merge import gold_merge, merge_feeds, sort_city_time
+from aeroweave.operators import stats
+from aeroweave.operators.merge import gold_merge, merge_feeds, sort_city_time, study_merge
 from aeroweave.operators.units import standardize_units
 from aeroweave.session import prepare
-from aeroweave.sources.writers import save_dual
+from aeroweave.sources.readers import scan_parquet
+from aeroweave.sources.writers import save, save_dual
 
 LOCAL = "local_datetime"
+STUDY_FEEDS = ("air_quality", "weather", "traffic")
 FEEDS = ("weather", "air_quality", "traffic")
 
 
@@ -45,3 +48,21 @@ def build_final(silver: dict[str, DataFrame], how: str = "outer") -> DataFrame:
     merged = merge_feeds(*(transform_feed(silver[n], n) for n in FEEDS), how=how)
     local = merged.withColumn(LOCAL, to_local_time(F.col("datetime")))
     return final_dataset(local, ts=LOCAL)
+
+
+def run_study(spark: SparkSession, feeds: dict[str, DataFrame], folder: str) -> dict[str, DataFrame] | None:
+    """The correlation study of daily feeds: merged rows, correlations, tests, regression, summary.
+
+    The merged rows are written once and every table is made from them. None when the feeds share no city and day.
+    """
+    prepare(spark)
+    path = f"{folder}/study.parquet"
+    save(study_merge(*(feeds[n] for n in STUDY_FEEDS)), path)
+    merged = scan_parquet(spark, path)
+    if merged.isEmpty():
+        return None
+    return {
+        "merged": merged, "correlations": stats.correlation_matrix(merged), "tests": stats.pearson_tests(merged),
+        "scatter_tests": stats.scatter_tests(merged), "regression": stats.pollutant_regression(merged),
+        "summary": stats.study_summary(merged),
+    }

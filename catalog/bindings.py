@@ -47,6 +47,10 @@ FEEDS = {
         "tsun": "case when event_id % 9 = 0 then null else cast(event_id % 61 as double) end",
         "temp_min": "value / 4.0 - 15.0",
         "temp_max": "value / 4.0 - 6.0",
+        "city": "upper(event_type)",
+        "lat": "47.0 + cast(user_id % 2 as double)",
+        "lon": "case when event_id % 21 = 0 then null else 6.0 + cast(user_id % 2 as double) end",
+        "weather_code": "cast(event_id % 27 as double)",
     }),
     "bronze_air": ("events", {
         # one city of the other feeds is missing here, and one is only here
@@ -72,6 +76,8 @@ FEEDS = {
         "congestion_level": "1.0 - cast(10 + event_id % 41 as double) / 50.0",
         "traffic_index": "case when event_id % 31 = 0 then 120.0 "
                          "else 100.0 * (1.0 - cast(10 + event_id % 41 as double) / 50.0) end",
+        "is_rush_hour": "case when event_id % 37 = 0 then null else event_id % 3 = 0 end",
+        "is_weekend": "event_id % 4 = 1",
         "is_holiday": "event_id % 50 = 0",
         "holiday_name": "case when event_id % 50 = 0 then 'Fair' end",
         "data_source": "case when event_id % 4 = 0 then 'flow' else 'synthetic' end",

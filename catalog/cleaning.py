@@ -8,7 +8,8 @@ from aeroweave.operators import clean, fills, merge, schema
 from catalog.entry import Entry, entry
 from catalog.relations import fill, first_rows
 
-SILVER_WEATHER = ("temperature humidity wind_speed precipitation pressure wind_direction snow tsun temp_min temp_max")
+SILVER_WEATHER = ("temperature humidity wind_speed precipitation pressure wind_direction snow tsun temp_min temp_max lat lon "
+                  "weather_code")
 SILVER_AIR = "no2 pm10 o3 pm25 co aqi_avg"
 SILVER_TRAFFIC = "traffic_index congestion_level current_speed free_flow_speed"
 
@@ -43,7 +44,7 @@ TRAFFIC_CLIPPED = [*TRAFFIC_COUNTED[:2], _outside("current_speed", 0, 200), _out
 
 METRICS_SQL = " union all ".join([
     _metrics("weather", "bronze_weather", "first_weather",
-             _nulls("bronze_weather", "temperature", "pressure", "snow", "tsun"), _nulls("bronze_weather", "wpgt"),
+             _nulls("bronze_weather", "temperature", "pressure", "snow", "tsun", "lon"), _nulls("bronze_weather", "wpgt"),
              _beyond("first_weather", *WEATHER_COUNTED), _beyond("first_weather", *WEATHER_CLIPPED)),
     _metrics("air_quality", "bronze_air", "first_air", _nulls("bronze_air", "no2", "pm10", "o3", "pm25", "co"), "0",
              _beyond("first_air", *AIR_COUNTED), _beyond("first_air", *AIR_COUNTED)),
@@ -90,7 +91,7 @@ ENTRIES: dict[str, Entry] = {
         lambda t: schema.drop_sparse_columns(t.feed("bronze_weather"), ["wpgt", "tsun", "dwpt"]),
         """select * exclude (wpgt, tsun), coalesce(tsun, (select quantile_cont(tsun, 0.5) from bronze_weather)) as tsun
         from bronze_weather""", "bronze_weather",
-        doubles="temperature humidity wind_speed precipitation pressure wind_direction snow tsun temp_min temp_max"),
+        doubles=SILVER_WEATHER),
     "median_fill": entry(
         lambda t: schema.median_fill(t.feed("bronze_air").select("_seq", "no2", "pm10"), ["no2", "pm10"]),
         """select _seq, coalesce(no2, (select quantile_cont(no2, 0.5) from bronze_air)) as no2,

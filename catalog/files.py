@@ -15,7 +15,8 @@ from catalog.entry import Entry, entry
 
 EVENT_COLUMNS = ("event_id", "ts", "event_type", "value")
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, event_type string, value double"
-FEED_DOUBLES = ("temperature humidity wind_speed precipitation pressure wind_direction snow wpgt tsun temp_min temp_max "
+FEED_DOUBLES = ("temperature humidity wind_speed precipitation pressure wind_direction snow wpgt tsun temp_min temp_max lat lon "
+                "weather_code "
                 "current_speed free_flow_speed confidence congestion_level traffic_index")
 EVENTS_SQL = "select event_id, ts, event_type, value from events"
 

@@ -9,7 +9,7 @@ from aeroweave.operators import cities, features, merge
 from catalog.entry import Entry, entry
 from catalog.relations import season
 
-GOLD_DOUBLES = ("temperature humidity precipitation wind_speed wind_direction pressure no2 pm10 o3 aqi_avg "
+GOLD_DOUBLES = ("temperature humidity precipitation wind_speed wind_direction pressure lat lon weather_code no2 pm10 o3 aqi_avg "
                 "current_speed free_flow_speed congestion_level traffic_index")
 STUDY_DOUBLES = ("no2 pm10 o3 temperature temp_min temp_max wind_speed precipitation pressure wpgt traffic_index "
                  "congestion_level current_speed temp_range")

@@ -55,7 +55,7 @@ CALENDAR = """cast(datetime as date) as date, cast(hour(datetime) as integer) as
     cast(isodow(datetime) - 1 as integer) as day_of_week, (isodow(datetime) - 1 < 5) as is_weekday"""
 
 WEATHER_CARRIED = ("temperature", "humidity", "wind_speed", "precipitation", "pressure", "wind_direction",
-                   "temp_min", "temp_max")
+                   "temp_min", "temp_max", "city", "lat", "lon", "weather_code")
 TRAFFIC_CARRIED = ("current_speed", "free_flow_speed", "congestion_level", "traffic_index")
 
 SEASON = """case when {m} in (12, 1, 2) then '{0}' when {m} in (3, 4, 5) then '{1}'
@@ -87,6 +87,7 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
         select city_key, datetime, {clip('temperature', -40, 50)} as temperature,
             {clip('humidity', 0, 100)} as humidity, {clip('wind_speed', 0, 50)} as wind_speed,
             {clip('precipitation', 0)} as precipitation, pressure, wind_direction, snow, tsun, temp_min, temp_max,
+            city, lat, lon, weather_code,
             {CALENDAR}
         from first_weather"""),
     "filled_air": (("bronze_air",), f"""
@@ -101,20 +102,22 @@ RELATIONS: dict[str, tuple[tuple[str, ...], str]] = {
                 {', '.join(f'{clip(c, 0, 500)} as {c}' for c in ('no2', 'pm10', 'o3'))}, pm25, co
             from first_air)"""),
     "filled_traffic": (("bronze_traffic",), f"""
-        select city_key, datetime, _seq, is_holiday, coalesce(holiday_name, '') as holiday_name,
+        select city_key, datetime, _seq, coalesce(is_rush_hour, true) as is_rush_hour, coalesce(is_weekend, true) as is_weekend,
+            is_holiday, coalesce(holiday_name, '') as holiday_name,
             {', '.join(f'coalesce({fill(c)}, 0) as {c}' for c in TRAFFIC_CARRIED)}
         from bronze_traffic"""),
     "first_traffic": (("filled_traffic",), f"select * from {first_rows('filled_traffic')}"),
     "silver_traffic": (("first_traffic",), f"""
-        select city_key, datetime, is_holiday, holiday_name, {clip('traffic_index', 0, 100)} as traffic_index,
+        select city_key, datetime, is_rush_hour, is_weekend, is_holiday, holiday_name, {clip('traffic_index', 0, 100)} as traffic_index,
             {clip('congestion_level', 0, 1)} as congestion_level, {clip('current_speed', 0, 200)} as current_speed,
             {clip('free_flow_speed', 0, 200)} as free_flow_speed, {CALENDAR}
         from first_traffic"""),
     "gold_base": (("silver_weather", "silver_air", "silver_traffic"), """
         select w.city_key, w.datetime, w.temperature, w.humidity, w.precipitation, w.wind_speed, w.wind_direction,
-            w.pressure, w.date, w.hour, w.month, w.day_of_week, w.is_night, w.is_weekday,
+            w.pressure, w.city, w.lat, w.lon, w.weather_code, w.date, w.hour, w.month, w.day_of_week, w.is_night, w.is_weekday,
             a.no2, a.pm10, a.o3, a.aqi_avg,
-            t.current_speed, t.free_flow_speed, t.congestion_level, t.traffic_index, t.is_holiday, t.holiday_name
+            t.current_speed, t.free_flow_speed, t.congestion_level, t.traffic_index, t.is_rush_hour, t.is_weekend,
+            t.is_holiday, t.holiday_name
         from silver_weather w
         join silver_air a on w.city_key = a.city_key and w.datetime = a.datetime
         join silver_traffic t on w.city_key = t.city_key and w.datetime = t.datetime"""),

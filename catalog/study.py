@@ -159,6 +159,7 @@ GOLD_COLUMNS = (
     "city_key", "datetime", "temperature", "humidity", "precipitation", "wind_speed", "wind_direction", "pressure",
     "date", "hour", "month", "day_of_week", "is_night", "is_weekday", "no2", "pm10", "o3", "aqi_avg", "current_speed",
     "free_flow_speed", "congestion_level", "traffic_index", "is_holiday", "holiday_name", "time_period", "season",
+    "city", "lat", "lon", "weather_code", "is_rush_hour", "is_weekend",
     "is_rainy", "temp_category", "air_quality_level", "traffic_level",
 )
 GROUPS_SQL = " union all ".join(

@@ -162,16 +162,16 @@ def test_clean_metrics(table):
 
 
 def test_clean_air_keeps_text_and_zeroes_unknown_pollutants(table):
-    df = table([("a", "2024-01-01 00:00:00", "st", None, 600.0, None), ("a", "2024-01-01 01:00:00", "st", None, None, None)],
-               "city_key string, datetime timestamp_ntz, station_name string, no2 double, pm10 double, note string")
+    df = table([("a", "2024-01-01 00:00:00", 1, "st", None, 600.0, None), ("a", "2024-01-01 01:00:00", 2, "st", None, None, None)],
+               "city_key string, datetime timestamp_ntz, _seq bigint, station_name string, no2 double, pm10 double, note string")
     got = clean.clean_air_quality(df)
     assert "station_name" not in got.columns
     assert rows(got, "no2", "pm10", "aqi_avg", "note") == [(0.0, 500.0, 250.0, None)] * 2
 
 
 def test_silver_is_within_bounds_and_unique(table):
-    cells = [("a", f"2024-01-01 {h:02d}:00:00", -90.0 + 7 * h, float(h * 9), float(h), -1.0) for h in range(24)] * 2
-    df = table(cells, "city_key string, datetime timestamp_ntz, temperature double, humidity double, wind_speed double, precipitation double")
+    cells = [("a", f"2024-01-01 {h % 24:02d}:00:00", h, -90.0 + 7 * (h % 24), float(h % 24 * 9), float(h % 24), -1.0) for h in range(48)]
+    df = table(cells, "city_key string, datetime timestamp_ntz, _seq bigint, temperature double, humidity double, wind_speed double, precipitation double")
     got = clean.clean_weather(df)
     low, high, wet, n, keys = got.agg(F.min("temperature"), F.max("humidity"), F.min("precipitation"), F.count("*"),
                                       F.count_distinct("city_key", "datetime")).first()
@@ -195,5 +195,5 @@ def test_high_temp_high_traffic(spark):
 
 def test_traffic_holidays(table):
     df = table([("2024-01-01 10:00:00",), ("2024-03-30 10:00:00",), ("2024-02-01 10:00:00",)], "datetime timestamp_ntz")
-    assert rows(features.tag_traffic_holidays(df), "is_holiday", "holiday_name") == [
-        (False, ""), (True, "New Year"), (True, "Pre-Holiday Travel")]
+    assert rows(features.tag_traffic_holidays(df), "is_holiday", "is_pre_holiday", "holiday_name") == [
+        (False, False, ""), (False, True, "Pre-Holiday Travel"), (True, False, "New Year")]
