@@ -19,7 +19,7 @@ _LAST = 2**63 - 1
 def line_keys(text: Column) -> Column:
     """A 64-bit hash per ``\\n``-split line, trimmed and lower-cased; null for a line without a word."""
     def key(line):
-        plain = F.lower(F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", ""))
+        plain = F.lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")))
         return F.when(plain != "", F.xxhash64(plain))
     return F.transform(F.split(text, "\n"), key)
 
