@@ -6,13 +6,13 @@ import heapq
 
 import numpy as np
 
-HEAD = 4096
-CLASSES = 64
+HEAD = 2048
+CLASSES = 32
 SIZE = HEAD // CLASSES
 #: Token numbers besides the head words: any other word, and the input before the first token.
 RARE, START = HEAD, HEAD + 1
 WIDTH = 16
-LANES = 256
+LANES = 512
 WINDOW = 32
 RATE = 0.01
 _NAMES = ("embed", "into", "within", "bias", "classes", "class_bias", "words", "word_bias")
@@ -84,29 +84,51 @@ class Lanes:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    out = np.tanh(x * np.float32(0.5))
+    out += 1
+    out *= np.float32(0.5)
+    return out
 
 
 def forward(p: dict, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = False):
     """States after each step of a window, from the state before it; with ``keep`` also what the way back needs."""
     drive = p["embed"][inputs] @ p["into"] + p["bias"]
-    states, trace = np.empty((*inputs.shape, WIDTH), np.float32), []
+    shape = (*inputs.shape, WIDTH)
+    states, trace = np.empty(shape, np.float32), [np.empty(shape, np.float32) for _ in range(5)] if keep else []
+    within, live = p["within"], (~fresh).astype(np.float32)[:, :, None]
     for t in range(len(inputs)):
-        before = np.where(fresh[t][:, None], np.float32(0), state)
-        push = before @ p["within"]
+        before = state * live[t]
+        push = before @ within
         gates = _sigmoid(drive[t, :, :2 * WIDTH] + push[:, :2 * WIDTH])
         hold, reset = gates[:, :WIDTH], gates[:, WIDTH:]
         new = np.tanh(drive[t, :, 2 * WIDTH:] + reset * push[:, 2 * WIDTH:])
         state = new + hold * (before - new)
         states[t] = state
-        if keep:
-            trace.append((before, push[:, 2 * WIDTH:], hold, reset, new))
+        for kept, value in zip(trace, (before, push[:, 2 * WIDTH:], hold, reset, new)):
+            kept[t] = value
     return states, state, trace
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits = logits - logits.max(1, keepdims=True)
-    return logits - np.log(np.exp(logits).sum(1, keepdims=True))
+def _exponents(states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logits, kept where exp doesn't overflow, and their exponentials."""
+    logits = states @ weights
+    logits += bias
+    np.minimum(logits, 60, out=logits)
+    return logits, np.exp(logits)
+
+
+def _log_chosen(states, weights, bias, chosen: np.ndarray) -> np.ndarray:
+    """Log of the softmax at one column of each row."""
+    logits, powers = _exponents(states, weights, bias)
+    return logits[np.arange(len(chosen)), chosen] - np.log(powers.sum(1))
+
+
+def _softmax_error(states, weights, bias, chosen: np.ndarray, share) -> np.ndarray:
+    """Gradient of the negative log of the softmax at the chosen column, times ``share``."""
+    _, powers = _exponents(states, weights, bias)
+    powers *= share / powers.sum(1, keepdims=True)
+    powers[np.arange(len(chosen)), chosen] -= share
+    return powers
 
 
 def _by_class(targets: np.ndarray):
@@ -120,11 +142,10 @@ def _by_class(targets: np.ndarray):
 def log_probability(p: dict, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of the class's probability times, for head words, that of the word in its class."""
     kinds, groups = _by_class(targets)
-    out = _log_softmax(states @ p["classes"] + p["class_bias"])[np.arange(len(targets)), kinds]
+    out = _log_chosen(states, p["classes"], p["class_bias"], kinds)
     for k, rows in groups:
         part = slice(k * SIZE, (k + 1) * SIZE)
-        logs = _log_softmax(states[rows] @ p["words"][part].T + p["word_bias"][part])
-        out[rows] += logs[np.arange(len(rows)), targets[rows] % SIZE]
+        out[rows] += _log_chosen(states[rows], p["words"][part].T, p["word_bias"][part], targets[rows] % SIZE)
     return out
 
 
@@ -133,42 +154,38 @@ def gradients(p: dict, inputs, targets, fresh, state) -> tuple[dict, np.ndarray]
     states, last, trace = forward(p, inputs, fresh, state, keep=True)
     valid = targets >= 0
     h, y = states[valid], targets[valid]
-    n = np.float32(max(1, len(y)))
+    share = np.float32(1 / max(1, len(y)))
     grad = {k: np.zeros_like(v) for k, v in p.items()}
     kinds, groups = _by_class(y)
-    error = np.exp(_log_softmax(h @ p["classes"] + p["class_bias"]))
-    error[np.arange(len(y)), kinds] -= 1
-    error /= n
+    error = _softmax_error(h, p["classes"], p["class_bias"], kinds, share)
     grad["classes"], grad["class_bias"] = h.T @ error, error.sum(0)
     dh = error @ p["classes"].T
     for k, rows in groups:
         part = slice(k * SIZE, (k + 1) * SIZE)
-        error = np.exp(_log_softmax(h[rows] @ p["words"][part].T + p["word_bias"][part]))
-        error[np.arange(len(rows)), y[rows] % SIZE] -= 1
-        error /= n
-        grad["words"][part], grad["word_bias"][part] = error.T @ h[rows], error.sum(0)
+        own = h[rows]
+        error = _softmax_error(own, p["words"][part].T, p["word_bias"][part], y[rows] % SIZE, share)
+        grad["words"][part], grad["word_bias"][part] = error.T @ own, error.sum(0)
         dh[rows] += error @ p["words"][part]
     every = np.zeros_like(states)
     every[valid] = dh
-    drive = np.empty((*inputs.shape, 3 * WIDTH), np.float32)
+    # how a change of a state changes its gates and its candidate; only the chain over steps is a loop
+    before, push, hold, reset, new = trace
+    by_new = (1 - hold) * (1 - new * new)
+    by_hold, by_reset = (before - new) * hold * (1 - hold), by_new * push * reset * (1 - reset)
+    by_push = np.stack([by_hold, by_reset, by_new * reset], 2)
+    back, live = p["within"].T, (~fresh).astype(np.float32)[:, :, None]
     carried = np.zeros_like(last)
     for t in range(len(inputs) - 1, -1, -1):
-        before, push, hold, reset, new = trace[t]
-        d = every[t] + carried
-        d_new = d * (1 - hold) * (1 - new * new)
-        d_hold = d * (before - new) * hold * (1 - hold)
-        d_reset = d_new * push * reset * (1 - reset)
-        drive[t] = np.concatenate([d_hold, d_reset, d_new], 1)
-        d_push = np.concatenate([d_hold, d_reset, d_new * reset], 1)
-        grad["within"] += before.T @ d_push
-        carried = (d * hold + d_push @ p["within"].T) * ~fresh[t][:, None]
-    rows = drive.reshape(-1, 3 * WIDTH)
+        d = every[t]
+        d += carried
+        carried = (d * hold[t] + (d[:, None] * by_push[t]).reshape(len(d), -1) @ back) * live[t]
+    grad["within"] = before.reshape(-1, WIDTH).T @ (every[:, :, None] * by_push).reshape(-1, 3 * WIDTH)
+    rows = (every[:, :, None] * np.stack([by_hold, by_reset, by_new], 2)).reshape(-1, 3 * WIDTH)
     x = p["embed"][inputs].reshape(-1, WIDTH)
     grad["into"], grad["bias"] = x.T @ rows, rows.sum(0)
-    back = rows @ p["into"].T
-    ids = inputs.ravel()
+    sent, ids = rows @ p["into"].T, inputs.ravel()
     for j in range(WIDTH):
-        grad["embed"][:, j] = np.bincount(ids, back[:, j], HEAD + 2)
+        grad["embed"][:, j] = np.bincount(ids, sent[:, j], HEAD + 2)
     return grad, last
 
 
@@ -190,11 +207,11 @@ class Trainer:
             grad, state = gradients(self.params, inputs, targets, fresh, state[:active])
             self.steps += 1
             self.tokens += int((targets >= 0).sum())
-            rate = RATE * min(1.0, self.steps / 20) * np.sqrt(1 - 0.999**self.steps) / (1 - 0.9**self.steps)
+            rate = RATE * min(1.0, self.steps / 20) * (1 - 0.999**self.steps) ** 0.5 / (1 - 0.9**self.steps)
             for k, g in grad.items():
                 self.mean[k] += 0.1 * (g - self.mean[k])
                 self.square[k] += 0.001 * (g * g - self.square[k])
-                self.params[k] -= (rate * self.mean[k] / (np.sqrt(self.square[k]) + 1e-8)).astype(np.float32)
+                self.params[k] -= rate * self.mean[k] / (np.sqrt(self.square[k]) + 1e-8)
 
 
 def score(params: dict, docs: list[np.ndarray]) -> np.ndarray:
