@@ -17,11 +17,12 @@ from aeroweave.llm import gru
 from aeroweave.llm.gam import held_out
 from aeroweave.llm.shared import arrow_schema, record_batch, written
 
-#: The most frequent words, held by every task with their counts; all others are looked up by a join.
+#: The most frequent words, so many at most, held by every task with their counts; all others are looked up by a join.
 HELD_WORDS = 200_000
+_STEPS = 64
 #: The corpus is passed over once, in so many parts; workers average after each.
 ROUNDS = 2
-#: Words that a task gathers before it counts or scores them.
+#: Words whose numbers a task gathers before the network passes over them.
 CHUNK_WORDS = 2_000_000
 _END = b"\n"
 _ADD = 0.1
@@ -50,28 +51,28 @@ def words_of(text: str | None) -> list[bytes]:
     return [*(text or "").encode("utf-8", "surrogatepass").lower().split(), _END]
 
 
-def _chunks(parts: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
-    """Slices of the batches, of about CHUNK_WORDS words at most (a text stays whole), with the words of their texts."""
+def _texts(parts: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, list[bytes]]]:
+    """Each row's batch, place in it and words; one text's words are held at a time."""
     for part in parts:
-        held, size, start = [], 0, 0
+        texts = part.column(column)
         for i in range(part.num_rows):
-            words = words_of(part.column(column)[i].as_py())
-            if held and size + len(words) > CHUNK_WORDS:
-                yield part.slice(start, len(held)), held
-                held, size, start = [], 0, i
-            held.append(words)
-            size += len(words)
-        if held:
-            yield part.slice(start, len(held)), held
+            yield part, i, words_of(texts[i].as_py())
 
 
 def _count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = arrow_schema("word binary, n long")
-    for _, texts in _chunks(parts, 0):
-        counts: Counter = Counter()
-        for words in texts:
-            counts.update(words)
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], schema=schema)
+    schema, counts, size = arrow_schema("word binary, n long"), Counter(), 0
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], schema=schema)
+
+    for _, _, words in _texts(parts, 0):
+        counts.update(words)
+        size += len(words)
+        if size > CHUNK_WORDS:
+            yield out()
+            counts, size = Counter(), 0
+    if counts:
+        yield out()
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -91,8 +92,14 @@ def _learner(vocabulary, params):
     def learn(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {w: i for w, i in vocabulary.value.words.items() if i < gru.HEAD}
         trainer = gru.Trainer(gru.unflat(params.value))
-        for _, texts in _chunks(parts, 0):
-            trainer.learn([_head(_numbers(words, known)) for words in texts])
+        held, size = [], 0
+        for _, _, words in _texts(parts, 0):
+            held.append(_head(_numbers(words, known)))
+            size += len(words)
+            if size > CHUNK_WORDS:
+                trainer.learn(held)
+                held, size = [], 0
+        trainer.learn(held)
         values = gru.flat(trainer.params).astype(float)
         rows = [(k, float(trainer.tokens), values[k * _BLOCK:(k + 1) * _BLOCK]) for k in range(-(-len(values) // _BLOCK))]
         if trainer.tokens:
@@ -136,21 +143,42 @@ def _scorer(vocabulary, params):
         logs = np.log10((held.counts + _ADD) / held.all_mass)
         shift = np.log10(held.all_mass / held.rare_mass)
         schema = arrow_schema(_SCORED)
-        for rows, texts in _chunks(parts, 3):
-            numbers = [_numbers(words, held.words) for words in texts]
-            found = gru.score(model, [_head(n) for n in numbers]) / np.log(10)
-            out = []
-            for i, (words, n, log) in enumerate(zip(texts, numbers, found)):
-                known = n[n >= 0]
-                rare = known[known >= gru.HEAD]
-                others = Counter(words[k] for k in np.flatnonzero(n < 0))
-                out.append((
-                    rows.column(0)[i].as_py(), rows.column(1)[i].as_py(), rows.column(2)[i].as_py(), len(words), len(known),
-                    float(logs[known].sum()), float(log + logs[rare].sum() + shift * len(rare)), list(others), list(others.values())))
-            yield record_batch(out, schema)
+        heads, out, size = [], [], 0
+
+        def finished():
+            logs_of = gru.score(model, heads) / np.log(10)
+            return record_batch([(*row[:6], row[6] + float(log), *row[7:]) for row, log in zip(out, logs_of)], schema)
+
+        for part, i, words in _texts(parts, 3):
+            n = _numbers(words, held.words)
+            known = n[n >= 0]
+            rare = known[known >= gru.HEAD]
+            others = Counter(words[k] for k in np.flatnonzero(n < 0))
+            heads.append(_head(n))
+            out.append((
+                *(part.column(c)[i].as_py() for c in range(3)), len(words), len(known), float(logs[known].sum()),
+                float(logs[rare].sum() + shift * len(rare)), list(others), list(others.values())))
+            size += len(words)
+            if size > CHUNK_WORDS:
+                yield finished()
+                heads, out, size = [], [], 0
+        if out:
+            yield finished()
     return score
 
 
+def frequent_words(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent words, ``most`` at the most: all from a power of 2 ** (1 / 64) on, found from a small histogram."""
+    step = F.floor(F.log2("n") * _STEPS).cast("int")
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).orderBy(F.desc("step")).collect()
+    held, least = 0, None
+    for row in sizes:
+        if held + row.words > most:
+            break
+        held, least = held + row.words, row.step
+    return counts.filter(step >= least) if least is not None else counts.limit(0)
+
+
 def score_texts(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", folds: int = 10, held_fold: int = 0,
     rounds: int = ROUNDS, held_words: int = HELD_WORDS,
@@ -172,7 +200,7 @@ def score_texts(
     learnt = rows.filter("not held_out").select("text")
     counts = written(count_words(learnt), "counts")
     tokens, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(held_words).toPandas()
+    top = frequent_words(counts, held_words).toPandas().sort_values(["n", "word"], ascending=[False, True])
     words = {bytes(w): i for i, w in enumerate(top["word"])}
     vocabulary = spark.sparkContext.broadcast(Vocabulary(words, top["n"].to_numpy(np.float64), tokens, kinds))
     params = spark.sparkContext.broadcast(train(learnt, vocabulary, rounds))
