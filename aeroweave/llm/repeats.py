@@ -21,6 +21,8 @@ GRAM = 32
 REACH = LENGTH - GRAM
 #: Occurrences of one gram that a task holds as a suffix array; more are compared string by string over all tasks.
 ARRAY_ROWS = 20_000
+#: The group number of copies of a context within their document; its first occurrence is in the groups of other numbers.
+COPY = -(2**31)
 _CHUNK = 1 << 19
 _POSITION = np.uint64(_CHUNK * 2 - 1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -132,7 +134,7 @@ def maximal_repeats(rows: list[tuple]) -> Iterator[tuple[int, list[int], int, in
 
 
 _ANCHORS = "doc long, gram long, place int"
-_CONTEXTS = "gram long, right binary, left binary, doc long, place int"
+_CONTEXTS = "gram long, right binary, left binary, doc long, place int, stop int"
 _REPEATS = "gram long, number int, doc long, start int, stop int, first boolean"
 
 
@@ -152,13 +154,22 @@ def _emit_anchors(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _emit_contexts(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each different context of a gram in a document. A later occurrence of the same context in the document is known
+    to be a copy: its row has no context, but where the copied bytes start and stop. Periodic texts are full of these.
+    """
     schema, unpack = arrow_schema(_CONTEXTS), zstandard.ZstdDecompressor().decompress
     for part in parts:
         rows = []
         for doc, packed, grams, places in zip(*(part.column(i).to_pylist() for i in range(4))):
             data = unpack(packed)
-            for gram, at in zip(grams, places):
-                rows.append((gram, data[at:at + LENGTH], data[max(0, at - REACH):at][::-1], doc, at))
+            seen = set()
+            for at, gram in sorted(zip(places, grams)):
+                right, left = data[at:at + LENGTH], data[max(0, at - REACH):at][::-1]
+                if (gram, right, left) not in seen:
+                    seen.add((gram, right, left))
+                    rows.append((gram, right, left, doc, at, None))
+                elif len(right) + len(left) >= LENGTH:
+                    rows.append((gram, None, None, doc, at - len(left), at + len(right)))
             if len(rows) > 50_000:
                 yield record_batch(rows, schema)
                 rows = []
@@ -188,10 +199,13 @@ def _group_repeats(gram: int, rows: list[tuple]) -> Iterator[tuple]:
 
 
 def _scan(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come with the rows of a gram together, sorted by right and left context."""
+    """Rows come with the contexts of a gram together, sorted by right and left context."""
     schema, out, now, held = arrow_schema(_REPEATS), [], None, []
     for part in parts:
-        for gram, *row in zip(*(part.column(i).to_pylist() for i in range(5))):
+        for gram, *row, stop in zip(*(part.column(i).to_pylist() for i in range(6))):
+            if row[0] is None:
+                out.append((gram, COPY, row[2], row[3], stop, False))
+                continue
             if gram != now and held:
                 out.extend(_group_repeats(now, held))
                 held = []
@@ -242,7 +256,7 @@ def find_repeats(numbered: DataFrame, array_rows: int = ARRAY_ROWS) -> DataFrame
     """Maximal repeat groups with all occurrences among the texts of ``numbered`` (``doc``, ``text``).
 
     Rows are (gram, number, doc, start, stop, first): occurrences of a group share gram and number, all LENGTH-byte strings
-    between start and stop are shared, and ``first`` marks the earliest. Long repeats come as a chain of groups, one for
+    between start and stop are shared, and ``first`` marks the earliest. Repeats of a whole context within a document have the number COPY. Long repeats come as a chain of groups, one for
     each sampled gram inside, which is all that reaches REACH bytes left and LENGTH bytes right of it.
 
     Only grams that occur twice go on from the sampling, with their contexts. A gram of at most ``array_rows`` occurrences
@@ -256,12 +270,14 @@ def find_repeats(numbered: DataFrame, array_rows: int = ARRAY_ROWS) -> DataFrame
     contexts = _packed(numbered).join(held, "doc").select(
         "doc", "packed", F.col("a.gram").alias("grams"), F.col("a.place").alias("places")).mapInArrow(_emit_contexts, _CONTEXTS)
     if frequent.isEmpty():
-        return contexts.repartition("gram").sortWithinPartitions("gram", "right", "left", "doc", "place").mapInArrow(_scan, _REPEATS)
+        return _scanned(contexts)
     contexts = written(contexts, "contexts")
     few = broadcast_if_small(frequent)
-    scanned = (contexts.join(few, "gram", "left_anti").repartition("gram")
-               .sortWithinPartitions("gram", "right", "left", "doc", "place").mapInArrow(_scan, _REPEATS))
-    hot = contexts.join(few, "gram", "left_semi").withColumn("context", F.xxhash64("right", "left"))
+    scanned = _scanned(contexts.join(few, "gram", "left_anti"))
+    hot = contexts.join(few, "gram", "left_semi")
+    copied = hot.filter("right is null").select(
+        "gram", F.lit(COPY).alias("number"), "doc", F.col("place").alias("start"), "stop", F.lit(False).alias("first"))
+    hot = hot.filter("right is not null").withColumn("context", F.xxhash64("right", "left"))
     firsts = hot.groupBy("gram", "context").agg(F.min(F.struct("doc", "place", "right", "left")).alias("f"))
     copies = hot.join(firsts.select("gram", "context", F.col("f.doc").alias("d"), F.col("f.place").alias("p")), ["gram", "context"])
     whole = copies.filter(F.length("right") + F.length("left") >= LENGTH).select(
@@ -274,7 +290,14 @@ def find_repeats(numbered: DataFrame, array_rows: int = ARRAY_ROWS) -> DataFrame
     single = strings.join(earliest, ["gram", "string"]).select(
         "gram", F.lit(0).alias("number"), "doc", "start", (F.col("start") + LENGTH).alias("stop"),
         (F.struct("doc", "start") == F.col("e")).alias("first"))
-    return scanned.unionByName(whole).unionByName(single)
+    return scanned.unionByName(copied).unionByName(whole).unionByName(single)
+
+
+def _scanned(contexts: DataFrame) -> DataFrame:
+    """Contexts of a gram meet in one task; copies, which need no comparison, go anywhere."""
+    spread = F.when(F.col("right").isNull(), F.xxhash64("doc", "place"))
+    return (contexts.repartition("gram", spread).sortWithinPartitions("gram", "right", "left", "doc", "place")
+            .mapInArrow(_scan, _REPEATS))
 
 
 def _cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
