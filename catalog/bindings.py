@@ -47,7 +47,7 @@ FEEDS = {
         "tsun": "case when event_id % 9 = 0 then null else cast(event_id % 61 as double) end",
         "temp_min": "value / 4.0 - 15.0",
         "temp_max": "value / 4.0 - 6.0",
-        "city": "upper(event_type)",
+        "city": "concat(event_type, '_', cast(user_id % 2 as string))",
         "lat": "47.0 + cast(user_id % 2 as double)",
         "lon": "case when event_id % 21 = 0 then null else 6.0 + cast(user_id % 2 as double) end",
         "weather_code": "cast(event_id % 27 as double)",
