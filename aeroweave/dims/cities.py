@@ -17,97 +17,88 @@ class City(NamedTuple):
     spellings: tuple[str, ...]
 
 
-# Key | name | latitude | longitude | official name | further spellings
-_CITY_TABLE = """
-berlin | Berlin | 52.52 | 13.405 | Berlin |
-munich | Munich | 48.1351 | 11.582 | München |
-hamburg | Hamburg | 53.5511 | 10.0 | Hamburg |
-cologne | Cologne | 50.9375 | 6.9603 | Köln |
-frankfurt | Frankfurt am Main | 50.1109 | 8.6821 | Frankfurt am Main | Frankfurt
-stuttgart | Stuttgart | 48.7758 | 9.1829 | Stuttgart |
-dusseldorf | Düsseldorf | 51.2277 | 6.7735 | Düsseldorf | Dusseldorf
-dortmund | Dortmund | 51.5136 | 7.4653 | Dortmund |
-essen | Essen | 51.4556 | 7.0116 | Essen |
-leipzig | Leipzig | 51.3397 | 12.3731 | Leipzig |
-bremen | Bremen | 53.0793 | 8.8017 | Bremen |
-dresden | Dresden | 51.0504 | 13.7373 | Dresden |
-hanover | Hanover | 52.3759 | 9.732 | Hannover |
-nuremberg | Nuremberg | 49.4521 | 11.0767 | Nürnberg |
-duisburg | Duisburg | 51.4344 | 6.7623 | Duisburg |
-bochum | Bochum | 51.4818 | 7.2162 | Bochum |
-wuppertal | Wuppertal | 51.2562 | 7.1508 | Wuppertal |
-bielefeld | Bielefeld | 52.02 | 8.5325 | Bielefeld |
-bonn | Bonn | 50.7374 | 7.0982 | Bonn |
-munster | Münster | 51.9607 | 7.6261 | Münster | Munster
-karlsruhe | Karlsruhe | 49.0069 | 8.4037 | Karlsruhe |
-mannheim | Mannheim | 49.4875 | 8.466 | Mannheim |
-augsburg | Augsburg | 48.3668 | 10.8987 | Augsburg |
-wiesbaden | Wiesbaden | 50.0782 | 8.2398 | Wiesbaden |
-gelsenkirchen | Gelsenkirchen | 51.5177 | 7.0857 | Gelsenkirchen |
-mönchengladbach | Mönchengladbach | 51.1805 | 6.4428 | Mönchengladbach | Moenchengladbach
-braunschweig | Braunschweig | 52.2689 | 10.5268 | Braunschweig |
-chemnitz | Chemnitz | 50.8278 | 12.9214 | Chemnitz |
-kiel | Kiel | 54.3233 | 10.1394 | Kiel |
-aachen | Aachen | 50.7753 | 6.0839 | Aachen |
-halle | Halle | 51.4826 | 11.9692 | Halle | Halle (Saale)
-magdeburg | Magdeburg | 52.1205 | 11.6276 | Magdeburg |
-freiburg | Freiburg | 47.9978 | 7.8427 | Freiburg | Freiburg im Breisgau
-krefeld | Krefeld | 51.3392 | 6.5861 | Krefeld |
-lübeck | Lübeck | 53.8655 | 10.6866 | Lübeck | Luebeck
-oberhausen | Oberhausen | 51.473 | 6.8807 | Oberhausen |
-erfurt | Erfurt | 50.9848 | 11.0299 | Erfurt |
-mainz | Mainz | 50.0012 | 8.2763 | Mainz |
-rostock | Rostock | 54.0924 | 12.0991 | Rostock |
-kassel | Kassel | 51.3127 | 9.4797 | Kassel |
-hagen | Hagen | 51.3671 | 7.4633 | Hagen |
-hamm | Hamm | 51.6739 | 7.816 | Hamm |
-saarbrücken | Saarbrücken | 49.2402 | 7.0097 | Saarbrücken | Saarbruecken
-mülheim | Mülheim an der Ruhr | 51.4314 | 6.8807 | Mülheim an der Ruhr | Mülheim; Muelheim
-potsdam | Potsdam | 52.3906 | 13.0645 | Potsdam |
-ludwigshafen | Ludwigshafen | 49.4812 | 8.4462 | Ludwigshafen | Ludwigshafen am Rhein
-oldenburg | Oldenburg | 53.1435 | 8.2146 | Oldenburg |
-leverkusen | Leverkusen | 51.0303 | 6.9843 | Leverkusen |
-osnabrück | Osnabrück | 52.2799 | 8.0472 | Osnabrück | Osnabrueck
-solingen | Solingen | 51.1714 | 7.0833 | Solingen |
-heidelberg | Heidelberg | 49.3988 | 8.6724 | Heidelberg |
-herne | Herne | 51.5369 | 7.226 | Herne |
-neuss | Neuss | 51.2042 | 6.6879 | Neuss |
-darmstadt | Darmstadt | 49.8728 | 8.6512 | Darmstadt | DARMDTADT
-paderborn | Paderborn | 51.7189 | 8.757 | Paderborn |
-regensburg | Regensburg | 49.0134 | 12.1016 | Regensburg |
-ingolstadt | Ingolstadt | 48.7665 | 11.4258 | Ingolstadt |
-würzburg | Würzburg | 49.7913 | 9.9534 | Würzburg | Wuerzburg
-fürth | Fürth | 49.4771 | 10.9887 | Fürth | Fuerth
-wolfsburg | Wolfsburg | 52.4226 | 10.7865 | Wolfsburg |
-offenbach | Offenbach | 50.1036 | 8.766 | Offenbach | Offenbach am Main
-ulm | Ulm | 48.4011 | 9.9876 | Ulm |
-heilbronn | Heilbronn | 49.1427 | 9.2109 | Heilbronn |
-pforzheim | Pforzheim | 48.8932 | 8.6919 | Pforzheim |
-göttingen | Göttingen | 51.5413 | 9.9158 | Göttingen | Goettingen
-bottrop | Bottrop | 51.5232 | 6.9253 | Bottrop |
-trier | Trier | 49.7499 | 6.6371 | Trier |
-recklinghausen | Recklinghausen | 51.6144 | 7.1979 | Recklinghausen |
-reutlingen | Reutlingen | 48.4914 | 9.2115 | Reutlingen |
-bremerhaven | Bremerhaven | 53.5396 | 8.5809 | Bremerhaven |
-koblenz | Koblenz | 50.3569 | 7.589 | Koblenz |
-bergisch_gladbach | Bergisch Gladbach | 50.9916 | 7.1233 | Bergisch Gladbach |
-jena | Jena | 50.9271 | 11.5862 | Jena |
-remscheid | Remscheid | 51.1784 | 7.1997 | Remscheid |
-erlangen | Erlangen | 49.5897 | 11.0039 | Erlangen |
-moers | Moers | 51.4514 | 6.6314 | Moers | MÖRS
-siegen | Siegen | 50.875 | 8.0167 | Siegen |
-hildesheim | Hildesheim | 52.1508 | 9.9513 | Hildesheim |
-salzgitter | Salzgitter | 52.15 | 10.3333 | Salzgitter |
-"""
-
-
-def _parse(line: str) -> City:
-    key, name, lat, lon, official, others = (part.strip() for part in line.split("|"))
-    spellings = dict.fromkeys([name, official, *filter(None, (s.strip() for s in others.split(";")))])
-    return City(key, name, float(lat), float(lon), official, tuple(spellings))
-
-
-CITIES: tuple[City, ...] = tuple(_parse(line) for line in _CITY_TABLE.strip().splitlines())
+# Key, name, latitude, longitude, official name, spellings
+CITIES: tuple[City, ...] = (
+    City("berlin", "Berlin", 52.52, 13.405, "Berlin", ("Berlin",)),
+    City("munich", "Munich", 48.1351, 11.582, "München", ("Munich", "München")),
+    City("hamburg", "Hamburg", 53.5511, 10.0, "Hamburg", ("Hamburg",)),
+    City("cologne", "Cologne", 50.9375, 6.9603, "Köln", ("Cologne", "Köln")),
+    City("frankfurt", "Frankfurt am Main", 50.1109, 8.6821, "Frankfurt am Main", ("Frankfurt am Main", "Frankfurt")),
+    City("stuttgart", "Stuttgart", 48.7758, 9.1829, "Stuttgart", ("Stuttgart",)),
+    City("dusseldorf", "Düsseldorf", 51.2277, 6.7735, "Düsseldorf", ("Düsseldorf", "Dusseldorf")),
+    City("dortmund", "Dortmund", 51.5136, 7.4653, "Dortmund", ("Dortmund",)),
+    City("essen", "Essen", 51.4556, 7.0116, "Essen", ("Essen",)),
+    City("leipzig", "Leipzig", 51.3397, 12.3731, "Leipzig", ("Leipzig",)),
+    City("bremen", "Bremen", 53.0793, 8.8017, "Bremen", ("Bremen",)),
+    City("dresden", "Dresden", 51.0504, 13.7373, "Dresden", ("Dresden",)),
+    City("hanover", "Hanover", 52.3759, 9.732, "Hannover", ("Hanover", "Hannover")),
+    City("nuremberg", "Nuremberg", 49.4521, 11.0767, "Nürnberg", ("Nuremberg", "Nürnberg")),
+    City("duisburg", "Duisburg", 51.4344, 6.7623, "Duisburg", ("Duisburg",)),
+    City("bochum", "Bochum", 51.4818, 7.2162, "Bochum", ("Bochum",)),
+    City("wuppertal", "Wuppertal", 51.2562, 7.1508, "Wuppertal", ("Wuppertal",)),
+    City("bielefeld", "Bielefeld", 52.02, 8.5325, "Bielefeld", ("Bielefeld",)),
+    City("bonn", "Bonn", 50.7374, 7.0982, "Bonn", ("Bonn",)),
+    City("munster", "Münster", 51.9607, 7.6261, "Münster", ("Münster", "Munster")),
+    City("karlsruhe", "Karlsruhe", 49.0069, 8.4037, "Karlsruhe", ("Karlsruhe",)),
+    City("mannheim", "Mannheim", 49.4875, 8.466, "Mannheim", ("Mannheim",)),
+    City("augsburg", "Augsburg", 48.3668, 10.8987, "Augsburg", ("Augsburg",)),
+    City("wiesbaden", "Wiesbaden", 50.0782, 8.2398, "Wiesbaden", ("Wiesbaden",)),
+    City("gelsenkirchen", "Gelsenkirchen", 51.5177, 7.0857, "Gelsenkirchen", ("Gelsenkirchen",)),
+    City("mönchengladbach", "Mönchengladbach", 51.1805, 6.4428, "Mönchengladbach", ("Mönchengladbach", "Moenchengladbach")),
+    City("braunschweig", "Braunschweig", 52.2689, 10.5268, "Braunschweig", ("Braunschweig",)),
+    City("chemnitz", "Chemnitz", 50.8278, 12.9214, "Chemnitz", ("Chemnitz",)),
+    City("kiel", "Kiel", 54.3233, 10.1394, "Kiel", ("Kiel",)),
+    City("aachen", "Aachen", 50.7753, 6.0839, "Aachen", ("Aachen",)),
+    City("halle", "Halle", 51.4826, 11.9692, "Halle", ("Halle", "Halle (Saale)")),
+    City("magdeburg", "Magdeburg", 52.1205, 11.6276, "Magdeburg", ("Magdeburg",)),
+    City("freiburg", "Freiburg", 47.9978, 7.8427, "Freiburg", ("Freiburg", "Freiburg im Breisgau")),
+    City("krefeld", "Krefeld", 51.3392, 6.5861, "Krefeld", ("Krefeld",)),
+    City("lübeck", "Lübeck", 53.8655, 10.6866, "Lübeck", ("Lübeck", "Luebeck")),
+    City("oberhausen", "Oberhausen", 51.473, 6.8807, "Oberhausen", ("Oberhausen",)),
+    City("erfurt", "Erfurt", 50.9848, 11.0299, "Erfurt", ("Erfurt",)),
+    City("mainz", "Mainz", 50.0012, 8.2763, "Mainz", ("Mainz",)),
+    City("rostock", "Rostock", 54.0924, 12.0991, "Rostock", ("Rostock",)),
+    City("kassel", "Kassel", 51.3127, 9.4797, "Kassel", ("Kassel",)),
+    City("hagen", "Hagen", 51.3671, 7.4633, "Hagen", ("Hagen",)),
+    City("hamm", "Hamm", 51.6739, 7.816, "Hamm", ("Hamm",)),
+    City("saarbrücken", "Saarbrücken", 49.2402, 7.0097, "Saarbrücken", ("Saarbrücken", "Saarbruecken")),
+    City("mülheim", "Mülheim an der Ruhr", 51.4314, 6.8807, "Mülheim an der Ruhr", ("Mülheim an der Ruhr", "Mülheim", "Muelheim")),
+    City("potsdam", "Potsdam", 52.3906, 13.0645, "Potsdam", ("Potsdam",)),
+    City("ludwigshafen", "Ludwigshafen", 49.4812, 8.4462, "Ludwigshafen", ("Ludwigshafen", "Ludwigshafen am Rhein")),
+    City("oldenburg", "Oldenburg", 53.1435, 8.2146, "Oldenburg", ("Oldenburg",)),
+    City("leverkusen", "Leverkusen", 51.0303, 6.9843, "Leverkusen", ("Leverkusen",)),
+    City("osnabrück", "Osnabrück", 52.2799, 8.0472, "Osnabrück", ("Osnabrück", "Osnabrueck")),
+    City("solingen", "Solingen", 51.1714, 7.0833, "Solingen", ("Solingen",)),
+    City("heidelberg", "Heidelberg", 49.3988, 8.6724, "Heidelberg", ("Heidelberg",)),
+    City("herne", "Herne", 51.5369, 7.226, "Herne", ("Herne",)),
+    City("neuss", "Neuss", 51.2042, 6.6879, "Neuss", ("Neuss",)),
+    City("darmstadt", "Darmstadt", 49.8728, 8.6512, "Darmstadt", ("Darmstadt", "DARMDTADT")),
+    City("paderborn", "Paderborn", 51.7189, 8.757, "Paderborn", ("Paderborn",)),
+    City("regensburg", "Regensburg", 49.0134, 12.1016, "Regensburg", ("Regensburg",)),
+    City("ingolstadt", "Ingolstadt", 48.7665, 11.4258, "Ingolstadt", ("Ingolstadt",)),
+    City("würzburg", "Würzburg", 49.7913, 9.9534, "Würzburg", ("Würzburg", "Wuerzburg")),
+    City("fürth", "Fürth", 49.4771, 10.9887, "Fürth", ("Fürth", "Fuerth")),
+    City("wolfsburg", "Wolfsburg", 52.4226, 10.7865, "Wolfsburg", ("Wolfsburg",)),
+    City("offenbach", "Offenbach", 50.1036, 8.766, "Offenbach", ("Offenbach", "Offenbach am Main")),
+    City("ulm", "Ulm", 48.4011, 9.9876, "Ulm", ("Ulm",)),
+    City("heilbronn", "Heilbronn", 49.1427, 9.2109, "Heilbronn", ("Heilbronn",)),
+    City("pforzheim", "Pforzheim", 48.8932, 8.6919, "Pforzheim", ("Pforzheim",)),
+    City("göttingen", "Göttingen", 51.5413, 9.9158, "Göttingen", ("Göttingen", "Goettingen")),
+    City("bottrop", "Bottrop", 51.5232, 6.9253, "Bottrop", ("Bottrop",)),
+    City("trier", "Trier", 49.7499, 6.6371, "Trier", ("Trier",)),
+    City("recklinghausen", "Recklinghausen", 51.6144, 7.1979, "Recklinghausen", ("Recklinghausen",)),
+    City("reutlingen", "Reutlingen", 48.4914, 9.2115, "Reutlingen", ("Reutlingen",)),
+    City("bremerhaven", "Bremerhaven", 53.5396, 8.5809, "Bremerhaven", ("Bremerhaven",)),
+    City("koblenz", "Koblenz", 50.3569, 7.589, "Koblenz", ("Koblenz",)),
+    City("bergisch_gladbach", "Bergisch Gladbach", 50.9916, 7.1233, "Bergisch Gladbach", ("Bergisch Gladbach",)),
+    City("jena", "Jena", 50.9271, 11.5862, "Jena", ("Jena",)),
+    City("remscheid", "Remscheid", 51.1784, 7.1997, "Remscheid", ("Remscheid",)),
+    City("erlangen", "Erlangen", 49.5897, 11.0039, "Erlangen", ("Erlangen",)),
+    City("moers", "Moers", 51.4514, 6.6314, "Moers", ("Moers", "MÖRS")),
+    City("siegen", "Siegen", 50.875, 8.0167, "Siegen", ("Siegen",)),
+    City("hildesheim", "Hildesheim", 52.1508, 9.9513, "Hildesheim", ("Hildesheim",)),
+    City("salzgitter", "Salzgitter", 52.15, 10.3333, "Salzgitter", ("Salzgitter",)),
+)
 
 
 def dim_city(spark: SparkSession) -> DataFrame:

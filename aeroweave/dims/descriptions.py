@@ -10,8 +10,8 @@ NO_DESCRIPTION = "Variable description not available"
 # Column name and its description
 DESCRIPTIONS = {
     "city": "City name",
-    "city_key": "Standardized city identifier (berlin, munich, hamburg, cologne, frankfurt)",
-    "datetime": "Timestamp in CET/CEST timezone",
+    "city_key": "Standardized city identifier, one of 79 German cities",
+    "datetime": "Timestamp in UTC",
     "date": "Date (YYYY-MM-DD)",
     "temperature": "Temperature in degrees Celsius (°C)",
     "temp_min": "Minimum temperature in degrees Celsius (°C)",
@@ -78,7 +78,8 @@ DESCRIPTIONS = {
 # Rolling means and lags follow a naming rule, so their texts do too
 _ROLLING = {"no2": "NO2", "pm25": "PM2.5", "pm10": "PM10", "o3": "O3",
             "temperature": "temperature", "traffic_index": "traffic index"}
-_LAGGED = {"no2": "NO2 value", "pm25": "PM2.5 value", "temperature": "Temperature"}
+_LAGGED = {"no2": "NO2 value", "pm25": "PM2.5 value", "pm10": "PM10 value", "o3": "O3 value",
+           "temperature": "Temperature", "traffic_index": "Traffic index"}
 
 for _column, _label in _ROLLING.items():
     for _days in (7, 30):

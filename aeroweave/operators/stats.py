@@ -70,6 +70,12 @@ def correlation_matrix(df: DataFrame, cols=STUDY_COLUMNS, by=()) -> DataFrame:
     return half.select(*by, F.explode(both_ways).alias("_p"), "r", "n").select(*by, "_p.x", "_p.y", "r", "n")
 
 
+def pollutant_pairs(df: DataFrame, cols=STUDY_COLUMNS, pollutants=POLLUTANTS) -> DataFrame:
+    """The rows of the matrix that start from a pollutant, and nothing else: for when the rest isn't wanted."""
+    cols = [c for c in cols if c in df.columns]
+    return pair_correlations(df, [(p, c) for p in pollutants if p in cols for c in cols if c != p])
+
+
 def pollutant_correlations(corr: DataFrame, pollutants=POLLUTANTS) -> DataFrame:
     """Rows of pollutants against everything that is not a pollutant."""
     return corr.filter(F.col("x").isin(*pollutants) & ~F.col("y").isin(*pollutants))

@@ -8,6 +8,7 @@ from aeroweave.functions import air, binning, calendar, numeric, traffic, weathe
 from aeroweave.operators import features
 from catalog.entry import Entry, entry
 from catalog.relations import PERIOD, clip, cut, mean_of, season
+from catalog.series import AQI_PM10, AQI_PM25
 
 INF = None
 READINGS = "from readings"
@@ -61,19 +62,10 @@ def _moved(t):
         "datetime", F.col("ts"))
 
 
-def _piecewise(column: str, points) -> str:
-    pieces = []
-    for (x0, y0), (x1, y1) in zip(points, points[1:]):
-        line = f"{y0} + ({y1} - {y0}) / ({x1} - {x0}) * ({column} - {x0})"
-        pieces.append((x1, line))
-    tests = " ".join(f"when {column} <= {x1} then {line}" for x1, line in pieces[:-1])
-    return f"case when {column} is null then null {tests} else {pieces[-1][1]} end"
-
-
-def _aqi(name, column, expression, points) -> dict[str, Entry]:
+def _aqi(name, column, expression, expected) -> dict[str, Entry]:
     return {name: entry(
         lambda t: t.feed("readings").select("event_id", column, expression(F.col(column)).alias(name)),
-        f"select event_id, {column}, {_piecewise(column, points)} as {name} {READINGS}",
+        f"select event_id, {column}, {expected} as {name} {READINGS}",
         "readings", doubles=f"{column} {name}",
     )}
 
@@ -193,8 +185,8 @@ ENTRIES: dict[str, Entry] = {
         lambda t: t.feed("bronze_weather").select(
             "_seq", weather.temp_range(F.col("temp_max"), F.col("temp_min")).alias("temp_range")),
         "select _seq, temp_max - temp_min as temp_range from bronze_weather", "bronze_weather", doubles="temp_range"),
-    **_aqi("pm25_aqi", "pm25", air.pm25_aqi, air.PM25_POINTS),
-    **_aqi("pm10_aqi", "pm10", air.pm10_aqi, air.PM10_POINTS),
+    **_aqi("pm25_aqi", "pm25", air.pm25_aqi, AQI_PM25),
+    **_aqi("pm10_aqi", "pm10", air.pm10_aqi, AQI_PM10),
     "pm25_pm10_ratio": entry(
         _readings(lambda: dict(ratio=air.pm25_pm10_ratio(F.col("pm25"), F.col("pm10")))),
         "select event_id, pm25 / (pm10 + 1e-6) as ratio from readings", "readings", doubles="ratio"),

@@ -256,11 +256,11 @@ ENTRIES: dict[str, Entry] = {
             for c in ("no2", "pm10", "o3")), "gold", doubles="mean_level"),
     "correlation_matrix": entry(lambda t: stats.correlation_matrix(t.study), MATRIX_SQL, "study", doubles="r"),
     "pollutant_correlations": entry(
-        lambda t: stats.pollutant_correlations(stats.correlation_matrix(t.study)), _pairs_sql(FOCUSED), "study", doubles="r"),
+        lambda t: stats.pollutant_correlations(stats.pollutant_pairs(t.study)), _pairs_sql(FOCUSED), "study", doubles="r"),
     "city_correlations": entry(
         lambda t: stats.city_correlations(t.study), _pairs_sql(CITY_PAIRS, by="city"), "study", doubles="r"),
     "top_correlations": entry(
-        lambda t: stats.top_correlations(stats.correlation_matrix(t.study)),
+        lambda t: stats.top_correlations(stats.pollutant_pairs(t.study)),
         f"""select x as pollutant, y as variable, r,
             cast(row_number() over (partition by x order by round(abs(r), 12) desc, y) as integer) as rank
         from ({_pairs_sql(TOP_PAIRS)}) where r is not null""", "study", doubles="r"),
