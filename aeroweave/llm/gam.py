@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from aeroweave.llm.quality import repeated_words
 from aeroweave.llm.shared import arrow_schema, written
 
-#: Labelled rows the model is fitted on at most; of more, those with the least hash of the id.
+#: Labelled rows the model is fitted on at most; of more, those with a small hash of the id.
 MAX_ROWS = 100_000
+_SHARES = 1 << 30
 BINS = 32
 PAIR_BINS = 8
 PAIRS = 10
@@ -192,7 +193,7 @@ def score_quality(
 
     Returns id, held_out, score and predicted (1 from THRESHOLD on). Features come from the whole text alone; they are
     written once to the shared folder, and learning and scoring read them there. The fit sees at most ``max_rows`` labelled
-    rows on the driver (those with the least hash of the id, a bounded matrix), scoring adds table entries
+    rows on the driver (those with a small hash of the id, a bounded matrix), scoring adds table entries
     per batch. Null texts count as empty; rows with a null id are scored but not learnt from; of several labels of an id the
     mean counts; null labels are none. Without labels every score is 0.5.
     """
@@ -200,8 +201,11 @@ def score_quality(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("t")).mapInArrow(_features, _SCHEMA), "features")
     known = labels.select(F.col(id_column).cast("long").alias("doc_id"), F.col(label_column).cast("double").alias("label")).dropna()
     known = known.filter(~held_out(F.col("doc_id"), folds, held_fold)).groupBy("doc_id").agg(F.avg("label").alias("label"))
-    rows = (features.join(known, "doc_id").withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id", "values")
-            .limit(max_rows).select("values", "label").toPandas())
+    # a share of the hashes that holds max_rows ids less six standard deviations, so that no task sends more than its part
+    share = (max_rows - min(6 * max_rows**0.5, max_rows / 2)) / max(1, known.count())
+    low = F.pmod(F.xxhash64("doc_id"), F.lit(_SHARES)) < int(min(1.0, share) * _SHARES)
+    rows = features.join(known.filter(low), "doc_id").select("doc_id", "values", "label").toPandas()
+    rows = rows.iloc[np.lexsort([rows["label"], rows["doc_id"]])][:max_rows]  # learnt from in one order
     values = np.array(rows["values"].tolist(), float).reshape(-1, len(FEATURES))
     model = docs.sparkSession.sparkContext.broadcast(fit(values, rows["label"].to_numpy(float)))
     scored = features.mapInArrow(_score(model), "doc_id long, score double")
