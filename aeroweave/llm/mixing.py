@@ -34,7 +34,7 @@ def poisson_table(rate: float) -> np.ndarray:
 def target_rates(
     docs: DataFrame, weights: Mapping[str | None, float] | None, source_column: str, text_column: str, epochs: float,
 ) -> DataFrame:
-    """``__group``, ``rate`` and ``table`` per source: rate = epochs * weight share * all characters / its characters."""
+    """``__group``, ``__rate`` and ``__table`` per source: rate = epochs * weight share * all characters / its characters."""
     groups = docs.groupBy(F.coalesce(F.col(source_column).cast("string"), F.lit(_NONE)).alias("__group")).agg(
         F.sum(F.coalesce(F.length(F.col(text_column).cast("string")), F.lit(0))).alias("chars"))
     if weights is None:
@@ -48,15 +48,15 @@ def target_rates(
     totals = groups.agg(F.sum("chars").alias("all_chars"), F.sum(used).alias("all_weight"))
     rates = groups.crossJoin(F.broadcast(totals)).select("__group", F.when(
         (F.col("chars") > 0) & (F.col("all_weight") > 0),
-        epochs * F.col("weight") / F.col("all_weight") * F.col("all_chars") / F.col("chars")).otherwise(0.0).alias("rate"))
+        epochs * F.col("weight") / F.col("all_weight") * F.col("all_chars") / F.col("chars")).otherwise(0.0).alias("__rate"))
 
     def tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            if (part.rate > MAX_RATE).any():
+            if (part["__rate"] > MAX_RATE).any():
                 raise ValueError(f"a source would have to be repeated more than {MAX_RATE:g} times on average")
-            yield part.assign(table=[poisson_table(rate) for rate in part.rate])
+            yield part.assign(__table=[poisson_table(rate) for rate in part["__rate"]])
 
-    return rates.mapInPandas(tables, "__group string, rate double, table array<double>")
+    return rates.mapInPandas(tables, "__group string, __rate double, __table array<double>")
 
 
 def mix_sources(
@@ -85,9 +85,9 @@ def mix_sources(
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         joined = named.withColumn("__salt", F.pmod(F.xxhash64(id_column, text_column), F.lit(SALTS)).cast("int")).join(
             rates.withColumn("__salt", salts), ["__group", "__salt"])
-    copies = F.size(F.filter("table", lambda p: p < F.col("__u")))
+    copies = F.size(F.filter("__table", lambda p: p < F.col("__u")))
     order = F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column), F.col("__copy"))
     return (
-        joined.withColumn("__n", copies).drop("table", "rate", "__u", "__group", "__salt").filter("__n > 0")
+        joined.withColumn("__n", copies).drop("__table", "__rate", "__u", "__group", "__salt").filter("__n > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).withColumn("__order", order)
         .repartition("__order").sortWithinPartitions("__order", "__copy").drop("__order", "__n"))

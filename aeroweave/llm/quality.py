@@ -19,7 +19,7 @@ MAX_REPEAT_PERCENT = 20
 LINE_SHARE = 0.1
 LINE_DOCS = 20
 #: A document is depleted when less than this share of its words is left without the common lines.
-KEPT_SHARE = 0.3
+KEPT_SHARE = 0.2
 _SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 _DIGITS = bytes.maketrans(b"123456789", b"000000000")
 _SCHEMA = (

@@ -103,7 +103,7 @@ SQL = {
             coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words,
             coalesce(lost, 0) as n_common_words from w left join rep using (rid) left join per using (rid))
         select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
-            not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - n_common_words >= 0.3 * n_words as kept
+            not (n_words < 10 or 100 * n_repeat_words > 20 * n_words) and n_words - n_common_words >= 0.2 * n_words as kept
         from base""",
     "op5_filter_urls": """
         with rules(host, path, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'),

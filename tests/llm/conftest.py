@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, host string, key long"
+DOCS = ("doc_id long, text string, lang string, source string, n_chars long, host string, key long, rate double, table string, "
+        "id string, row long, gram string, fingerprint string")
 
 
 @pytest.fixture(scope="session")
@@ -24,6 +25,7 @@ def spark():
 def documents(spark):
     """(doc_id, text, source) rows as documents with two more columns whose names clash with internal ones."""
     def make(rows):
-        full = [(i, t, "en", s, None if t is None else len(t), "clash", 7) for i, t, s in rows]
+        full = [(i, t, "en", s, None if t is None else len(t), "clash", 7, 0.5, "clash", "clash", 7, "clash", "clash")
+                for i, t, s in rows]
         return spark.createDataFrame(full, DOCS)
     return make
