@@ -32,6 +32,14 @@ def test_stages_on_planted_cases(spark, documents, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_cut_lines_counts_characters_anew(spark, documents):
+    rows = [(i, f"{text(i)}\nshared by many sites", f"s{i}") for i in range(12)] + [(50, "shared by many sites", "s1"), (51, "", "s1")]
+    found = {r.doc_id: r for r in corpus_pipeline.cut_lines(spark, documents(rows), "").collect()}
+    assert sorted(found) == [*range(12), 51]
+    assert all(r.n_chars == len(r.text) for r in found.values())
+    assert found[0].text.endswith("sites") and found[1].text == text(1)
+
+
 def test_pipeline_on_an_empty_table(spark, documents, tmp_path):
     documents([(1, "x", "s")]).limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, PASSAGE)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
