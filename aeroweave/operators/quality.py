@@ -94,10 +94,11 @@ def describe_columns(columns: DataFrame, descriptions: DataFrame | None = None)
     )
 
 
-def data_dictionary(df: DataFrame, descriptions: DataFrame | None = None) -> DataFrame:
+def data_dictionary(df: DataFrame, descriptions: DataFrame | None = None, approximate: bool = False) -> DataFrame:
     """column, description, data_type, nulls, null_pct, lowest, highest, mean, distinct_values.
 
-    Numbers and flags get lowest, highest and mean; other columns the distinct count.
+    Numbers and flags get lowest, highest and mean; other columns the distinct count, which ``approximate`` makes a
+    sketch of fixed size instead of a shuffle of each column's values.
     """
     kinds = dict(df.dtypes)
     measured = [c for c in df.columns if kinds[c] in NUMBERS or kinds[c] == "boolean"]
@@ -112,7 +113,7 @@ def data_dictionary(df: DataFrame, descriptions: DataFrame | None = None) -> Dat
         *[f(number(c)).alias(f"{tag}_{c}") for c in measured for tag, f in (("lo", F.min), ("hi", F.max), ("av", F.avg))],
     )
     if named:
-        distinct = df.select(*named).agg(*[F.count_distinct(c).alias(f"d_{c}") for c in named])
+        distinct = df.select(*named).agg(*[(F.approx_count_distinct if approximate else F.count_distinct)(c).alias(f"d_{c}") for c in named])
         summary = attach_scalars(summary, distinct)
 
     none = F.lit(None)

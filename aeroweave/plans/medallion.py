@@ -1,4 +1,4 @@
-"""The two end-to-end jobs: raw feeds to the unified table, and the correlation study."""
+"""The end-to-end jobs: raw feeds to the unified table, the correlation study, the quality report."""
 
 from __future__ import annotations
 
@@ -9,9 +9,11 @@ from aeroweave.functions.calendar import to_local_time
 from aeroweave.operators.clean import clean_all
 from aeroweave.operators.features import final_dataset, gold_features, transform_categories
 from aeroweave.operators.grids import to_hourly
-from aeroweave.operators import stats
+from aeroweave.operators import quality, stats
+from aeroweave.operators.aggregates import null_counts
 from aeroweave.operators.merge import gold_merge, merge_feeds, sort_city_time, study_merge
 from aeroweave.operators.units import standardize_units
+from aeroweave.plans.shared import written
 from aeroweave.session import prepare
 from aeroweave.sources.readers import scan_parquet
 from aeroweave.sources.writers import save, save_dual
@@ -66,3 +68,20 @@ def run_study(spark: SparkSession, feeds: dict[str, DataFrame], folder: str) ->
         "scatter_tests": stats.scatter_tests(merged), "regression": stats.pollutant_regression(merged),
         "summary": stats.study_summary(merged),
     }
+
+
+def run_quality(df: DataFrame, folder: str, measures=None) -> dict[str, DataFrame]:
+    """The quality report as tables written below ``folder``: ranges, units, gaps in columns, statistics and outliers.
+
+    The table is written once and every part of the report reads that copy.
+    """
+    spark = prepare(df.sparkSession)
+    rows = written(df, "report")
+    parts = {
+        "ranges": quality.range_validation(rows), "units": quality.unit_verification(rows),
+        "nulls": null_counts(rows, measures), "statistics": quality.summary_statistics(rows, measures),
+        "outliers": quality.iqr_outliers(rows, measures),
+    }
+    for name, part in parts.items():
+        save(part, f"{folder}/{name}.parquet")
+    return {name: scan_parquet(spark, f"{folder}/{name}.parquet") for name in parts}

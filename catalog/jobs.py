@@ -11,7 +11,10 @@ from catalog.cleaning import SHARED, SILVER_AIR, SILVER_TRAFFIC, SILVER_WEATHER
 from catalog.entry import Entry, entry
 from catalog.files import _folder
 from catalog.joins import GOLD_DOUBLES
-from catalog.study import MATRIX_SQL, SCATTER_TESTS_SQL, SUMMARY_SQL, TESTS_SQL, _regression_sql
+from catalog.study import (
+    MATRIX_SQL, RANGE_SQL, READING_COLUMNS, SCATTER_TESTS_SQL, SUMMARY_SQL, TESTS_SQL, UNIT_SQL, _iqr_sql, _null_sql,
+    _regression_sql, _statistics_sql,
+)
 
 SILVER = (("weather", "silver_weather"), ("air_quality", "silver_air"), ("traffic", "silver_traffic"))
 
@@ -46,6 +49,30 @@ def _study_job(t) -> DataFrame:
     return merge.union_feeds(parts)
 
 
+def _quality_job(t) -> DataFrame:
+    """The report as one long table: table, measure, item, value."""
+    found = medallion.run_quality(t.feed("readings").select(*READING_COLUMNS), _folder(t), READING_COLUMNS)
+    parts = []
+    for name, df in found.items():
+        measure = "column" if name == "nulls" else "measure"
+        items = [c for c in df.columns if c not in (measure, "unit")]
+        numbers = df.select(F.col(measure).alias("measure"), *[F.col(c).cast("double").alias(c) for c in items])
+        parts.append(numbers.unpivot("measure", items, "item", "value").filter("value is not null").withColumn("table", F.lit(name)))
+    return merge.union_feeds(parts)
+
+
+def _long(name: str, sql: str, measure: str = "measure") -> str:
+    drop = f"{measure}, unit" if "'unit'" in sql or " as unit" in sql else measure
+    return f"""select '{name}' as "table", measure, item, value from (
+        unpivot (select {measure} as measure, columns(* exclude ({drop}))::double from ({sql}))
+        on columns(* exclude (measure)) into name item value value)"""
+
+
+QUALITY_SQL = " union all ".join([
+    _long("ranges", RANGE_SQL), _long("units", UNIT_SQL), _long("nulls", _null_sql(READING_COLUMNS), '"column"'),
+    _long("statistics", _statistics_sql()), _long("outliers", _iqr_sql()),
+])
+
 STUDY_SQL = " union all ".join([
     f"select 'correlations' as table, x as a, y as b, r as value, n from ({MATRIX_SQL})",
     *[f"select '{name}_{c}', pollutant, predictor, {c}, n from ({sql})"
@@ -64,5 +91,6 @@ ENTRIES: dict[str, Entry] = {
         "silver_weather", "silver_air", "silver_traffic", doubles=f"{SILVER_WEATHER} {SILVER_AIR} {SILVER_TRAFFIC}"),
     "gold_job": entry(
         _gold_job, "select * replace (cast(date as varchar) as date) from gold", "gold", doubles=GOLD_DOUBLES),
+    "quality_job": entry(_quality_job, QUALITY_SQL, "readings", doubles="value"),
     "study_job": entry(_study_job, STUDY_SQL, "study", doubles="value"),
 }
