@@ -25,12 +25,13 @@ _SCHEMA = "id long, text_key long, fingerprint long"
 _LAST = 2**63 - 1
 
 
-def fingerprint(text: str) -> int:
-    """Bits set in over half of the XXH64 hashes of the word shingles; 0 without a word."""
+def fingerprint(text: str, width: int = WORDS, distinct: bool = False) -> int:
+    """Bits set in over half of the XXH64 hashes of the shingles of ``width`` words, or of the different ones; 0 without a word."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
-    shingles = [b" ".join(words)] if len(words) < WORDS else map(b" ".join, zip(*(words[i:] for i in range(WORDS))))
+    shingles = [b" ".join(words)] if len(words) < width else map(b" ".join, zip(*(words[i:] for i in range(width))))
+    shingles = set(shingles) if distinct else shingles
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(HASH_SEED)), "<u8")
     counts = np.zeros(BITS, np.int64)
     for part in range(0, len(hashes), 1 << 15):
@@ -39,11 +40,13 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = arrow_schema(_SCHEMA)
-    for part in parts:
-        found = np.array([fingerprint(text) for text in part.column(2).to_pylist()], np.uint64).view(np.int64)
-        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found)], schema=schema)
+def _fingerprints(width: int, distinct: bool):
+    def fingerprints(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema(_SCHEMA)
+        for part in parts:
+            found = np.array([fingerprint(text, width, distinct) for text in part.column(2).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found)], schema=schema)
+    return fingerprints
 
 
 def segment_masks(first: int, length: int, segments: int = SEGMENTS) -> int:
@@ -107,7 +110,9 @@ def near_links(prints: DataFrame) -> DataFrame:
     return pairs.union(stars).distinct()
 
 
-def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_groups(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WORDS, distinct: bool = False,
+) -> DataFrame:
     """``id``, ``text_key``, ``fingerprint`` and ``component`` (the smallest id reachable over links) of every row.
 
     A null text counts as empty; texts without a word have fingerprint zero and are linked like any other. Null ids are
@@ -115,7 +120,7 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     """
     prints = written(docs.select(
         F.col(id_column).cast("long").alias("id"), F.xxhash64(text_or_empty(text_column)).alias("text_key"),
-        text_or_empty(text_column).alias("text")).mapInArrow(_fingerprints, _SCHEMA), "fingerprints")
+        text_or_empty(text_column).alias("text")).mapInArrow(_fingerprints(width, distinct), _SCHEMA), "fingerprints")
     distinct = prints.groupBy("fingerprint").agg(F.min("id").alias("least"))
     roots = components(near_links(distinct.select("fingerprint")))
     labelled = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
@@ -125,13 +130,20 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     return prints.join(groups, "fingerprint")
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", kinds: tuple[tuple[int, bool], ...] = ((WORDS, False),),
+) -> DataFrame:
     """One row of each near-duplicate group of ``docs``, all columns as they are: the one with the smallest id.
 
-    Of rows with that id, the one with the least text hash; of fully equal (id, text) rows, any one. Null ids come last.
+    ``kinds`` are the shingles to fingerprint, as (words, distinct); a row stays if it is the first of its group for
+    every kind, so whatever goes has an earlier row in a group of its own. Of rows with the smallest id, the one with the least
+    text hash stays; of fully equal (id, text) rows, any one. Null ids come last.
     """
     order = F.struct(F.coalesce("id", F.lit(_LAST)).alias("__id"), F.col("text_key").alias("__key"))
-    chosen = near_groups(docs, id_column, text_column).groupBy("group").agg(F.min(order).alias("first")).select("first.*")
-    keyed = docs.withColumns({
+    kept = docs.withColumns({
         "__id": F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST)), "__key": F.xxhash64(text_or_empty(text_column))})
-    return keyed.join(chosen, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).drop("__id", "__key")
+    for width, distinct in kinds:
+        groups = near_groups(docs, id_column, text_column, width, distinct)
+        chosen = groups.groupBy("group").agg(F.min(order).alias("first")).select("first.*")
+        kept = kept.join(chosen, ["__id", "__key"], "left_semi")
+    return kept.dropDuplicates(["__id", "__key"]).drop("__id", "__key")
