@@ -92,7 +92,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def forward(p: dict, inputs: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = False):
     """States after each step of a window, from the state before it; with ``keep`` also what the way back needs."""
-    drive = p["embed"][inputs] @ p["into"] + p["bias"]
+    drive = (p["embed"] @ p["into"] + p["bias"])[inputs]
     shape = (*inputs.shape, WIDTH)
     states, trace = np.empty(shape, np.float32), [np.empty(shape, np.float32) for _ in range(5)] if keep else []
     within, live = p["within"], (~fresh).astype(np.float32)[:, :, None]
