@@ -256,8 +256,9 @@ def find_repeats(numbered: DataFrame, array_rows: int = ARRAY_ROWS) -> DataFrame
     """Maximal repeat groups with all occurrences among the texts of ``numbered`` (``doc``, ``text``).
 
     Rows are (gram, number, doc, start, stop, first): occurrences of a group share gram and number, all LENGTH-byte strings
-    between start and stop are shared, and ``first`` marks the earliest. Repeats of a whole context within a document have the number COPY. Long repeats come as a chain of groups, one for
-    each sampled gram inside, which is all that reaches REACH bytes left and LENGTH bytes right of it.
+    between start and stop are shared, and ``first`` marks the earliest. Long repeats come as a chain of groups, one for
+    each sampled gram inside, which is all that reaches REACH bytes left and LENGTH bytes right of it. Repeats of a
+    whole context within a document have the number COPY.
 
     Only grams that occur twice go on from the sampling, with their contexts. A gram of at most ``array_rows`` occurrences
     is a suffix array in one task: sorted by Spark, scanned as a stream. Of more frequent grams, equal contexts are

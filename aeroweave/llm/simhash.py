@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroweave.llm.components import components
-from aeroweave.llm.shared import arrow_schema, discard, text_or_empty, written
+from aeroweave.llm.shared import arrow_schema, text_or_empty, written
 
 WORDS = 3
 HASH_SEED = 42
