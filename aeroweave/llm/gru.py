@@ -6,13 +6,13 @@ import heapq
 
 import numpy as np
 
-HEAD = 2048
-CLASSES = 32
+HEAD = 4096
+CLASSES = 64
 SIZE = HEAD // CLASSES
 #: Token numbers besides the head words: any other word, and the input before the first token.
 RARE, START = HEAD, HEAD + 1
 WIDTH = 16
-LANES = 512
+LANES = 256
 WINDOW = 32
 RATE = 0.01
 _NAMES = ("embed", "into", "within", "bias", "classes", "class_bias", "words", "word_bias")

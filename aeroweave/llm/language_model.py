@@ -116,7 +116,7 @@ def train(texts: DataFrame, vocabulary, rounds: int = ROUNDS, workers: int | Non
     """Parameters learnt from all of ``texts`` (one column): every worker passes over its share and the means go on.
 
     A round takes the texts of one hash remainder. There are as many workers as cores by default; the parameters of each
-    (about 70 thousand numbers) are averaged in blocks, weighted by tokens.
+    (about 140 thousand numbers) are averaged in blocks, weighted by tokens.
     """
     spark = texts.sparkSession
     held = vocabulary.value

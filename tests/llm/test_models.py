@@ -148,6 +148,17 @@ def test_probabilities_sum_to_one_and_state_crosses_windows():
     assert np.allclose(together, plain, rtol=1e-4)
 
 
+def test_words_past_the_first_two_thousand_follow_their_context():
+    docs = [np.array([3000 + 2 * (k % 8), 3001 + 2 * (k % 8)] * 8, np.int32) for k in range(400)]
+    start = gru.initial(np.full(4000, 10.0), 1.0)
+    trainer = gru.Trainer(start)
+    for _ in range(60):
+        trainer.learn(docs)
+    assert gru.score(trainer.params, docs[:8]).mean() > 0.6 * gru.score(start, docs[:8]).mean()
+    number = np.array([2047, 2048, 4095, 4096, 9999, -1])
+    assert language_model._head(number).tolist() == [2047, 2048, 4095, gru.RARE, gru.RARE, gru.RARE]
+
+
 def slow_base(rows):
     tokens = {i: [*(t or "").encode().lower().split(), b"\n"] for i, t, _ in rows}
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i in tokens}
