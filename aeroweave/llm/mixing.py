@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 #: Groups whose rate and table of probabilities may be broadcast.
 BROADCAST_GROUPS = 10_000
-#: Mean repetitions above this are refused: no mix needs them, and the table of probabilities grows with them.
-MAX_RATE = 10_000.0
+#: More passes over the whole corpus than this are refused; a source's own rate has no limit.
+MAX_EPOCHS = 10_000.0
+#: Mean repetitions from which a table of probabilities holds only the part around the mean.
+WHOLE_RATE = 10_000.0
+#: Copies of a row that are made at once.
+STEP = 10_000
 SALTS = 32
 SEED = 20240
 _NONE = "\x00none"
@@ -31,10 +35,24 @@ def poisson_table(rate: float) -> np.ndarray:
     return np.cumsum(np.exp(np.arange(top + 1) * np.log(rate) - rate - logs)) if rate > 0 else np.ones(1)
 
 
+def poisson_part(rate: float) -> tuple[int, np.ndarray]:
+    """The least k with a chance that a 48-bit number can tell, and P(X <= k) from there on as in :func:`poisson_table`."""
+    if rate <= WHOLE_RATE:
+        return 0, poisson_table(rate)
+    spread = int(12 * np.sqrt(rate)) + 40
+    mode = int(rate)
+    low = mode - spread
+    # log of P(k) / P(mode), added up from the mode to both sides; the sum of all is one
+    up = np.cumsum(np.log(rate / np.arange(mode + 1, mode + spread + 1)))
+    down = np.cumsum(np.log(np.arange(mode, low, -1) / rate))[::-1]
+    parts = np.exp(np.concatenate([down, [0.0], up]))
+    return low, np.cumsum(parts / parts.sum())
+
+
 def target_rates(
     docs: DataFrame, weights: Mapping[str | None, float] | None, source_column: str, text_column: str, epochs: float,
 ) -> DataFrame:
-    """``__group``, ``__rate`` and ``__table`` per source: rate = epochs * weight share * all characters / its characters."""
+    """``__group``, ``__rate``, ``__low`` and ``__table`` per source: rate = epochs * weight share * all characters / its characters."""
     groups = docs.groupBy(F.coalesce(F.col(source_column).cast("string"), F.lit(_NONE)).alias("__group")).agg(
         F.sum(F.coalesce(F.length(F.col(text_column).cast("string")), F.lit(0))).alias("chars"))
     if weights is None:
@@ -52,11 +70,10 @@ def target_rates(
 
     def tables(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            if (part["__rate"] > MAX_RATE).any():
-                raise ValueError(f"a source would have to be repeated more than {MAX_RATE:g} times on average")
-            yield part.assign(__table=[poisson_table(rate) for rate in part["__rate"]])
+            found = [poisson_part(rate) for rate in part["__rate"]]
+            yield part.assign(__low=[low for low, _ in found], __table=[table for _, table in found])
 
-    return rates.mapInPandas(tables, "__group string, __rate double, __table array<double>")
+    return rates.mapInPandas(tables, "__group string, __rate double, __low long, __table array<double>")
 
 
 def mix_sources(
@@ -72,9 +89,11 @@ def mix_sources(
     share one number. A source without characters (all texts null or empty) has rate 0.
 
     All columns are kept; ``__copy`` counts from 1. Rows are dealt to partitions and ordered within them by
-    a hash of seed, id, text and copy. A hot source is only summed, never gathered; the rates are broadcast when counted
+    a hash of seed, id, text and copy. A source may be as small as it is: its rate has no limit. A hot source is only summed, never gathered; the rates are broadcast when counted
     to be few and otherwise joined over salts.
     """
+    if epochs > MAX_EPOCHS:
+        raise ValueError(f"the corpus would have to be repeated more than {MAX_EPOCHS:g} times")
     rates = target_rates(docs, weights, source_column, text_column, epochs)
     named = docs.withColumns({
         "__group": F.coalesce(F.col(source_column).cast("string"), F.lit(_NONE)),
@@ -85,9 +104,11 @@ def mix_sources(
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         joined = named.withColumn("__salt", F.pmod(F.xxhash64(id_column, text_column), F.lit(SALTS)).cast("int")).join(
             rates.withColumn("__salt", salts), ["__group", "__salt"])
-    copies = F.size(F.filter("__table", lambda p: p < F.col("__u")))
+    copies = (F.col("__low") + F.size(F.filter("__table", lambda p: p < F.col("__u")))).cast("int")
     order = F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column), F.col("__copy"))
     return (
-        joined.withColumn("__n", copies).drop("__table", "__rate", "__u", "__group", "__salt").filter("__n > 0")
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).withColumn("__order", order)
+        joined.withColumn("__n", copies).drop("__table", "__low", "__rate", "__u", "__group", "__salt").filter("__n > 0")
+        .withColumn("__from", F.explode(F.sequence(F.lit(1), F.col("__n"), F.lit(STEP))))
+        .withColumn("__copy", F.explode(F.sequence("__from", F.least(F.col("__n"), F.col("__from") + (STEP - 1)))))
+        .drop("__from").withColumn("__order", order)
         .repartition("__order").sortWithinPartitions("__order", "__copy").drop("__order", "__n"))

@@ -44,6 +44,23 @@ def test_mixing_edge_cases(documents):
         mixing.mix_sources(documents(rows), epochs=1e6).count()
 
 
+def test_a_source_far_smaller_than_the_others_is_repeated_as_often_as_it_takes(documents):
+    rows = [(i, "x" * 60_000, "big") for i in range(20)] + [(100, "y" * 25, "small")]
+    found = Counter((r.source, r.doc_id) for r in mixing.mix_sources(documents(rows)).select("source", "doc_id").collect())
+    rate = (20 * 60_000 + 25) / 50
+    assert rate > 20_000 and abs(found["small", 100] - rate) < 8 * rate**0.5
+    copies = [r["__copy"] for r in mixing.mix_sources(documents(rows)).filter("source = 'small'").select("__copy").collect()]
+    assert sorted(copies) == list(range(1, len(copies) + 1)) and len(copies) == found["small", 100]
+
+
+def test_the_part_of_a_poisson_table_inverts_like_the_whole():
+    for rate in (10_500.0, 123_456.7):
+        (low, part), whole = mixing.poisson_part(rate), mixing.poisson_table(rate)
+        draws = (np.arange(5000) + 0.5) / 5000
+        assert low > 0 and np.array_equal(low + np.searchsorted(part, draws), np.searchsorted(whole, draws))
+    assert mixing.poisson_part(7.5)[0] == 0 and len(mixing.poisson_part(1.5e9)[1]) < 1_000_000
+
+
 # URL filters
 
 def slow_verdict(url, rules):
