@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -78,16 +79,44 @@ def _features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield record_batch(rows, schema)
 
 
+def _judged(
+    docs: DataFrame, id_column: str, text_column: str, host_column: str, line_share: float, line_docs: int, kept_share: float,
+    line_ceiling: int | None, with_lines: bool,
+) -> DataFrame:
+    """As :func:`judge_quality`; ``with_lines`` adds ``__gone``, the keys of a row's common lines (null if none)."""
+    features = written(
+        docs.select(F.monotonically_increasing_id(), F.col(id_column).cast("long").alias("__id"), F.col(text_column).cast("string").alias("__text"),
+                    F.col(host_column).cast("string").alias("__site")).mapInArrow(_features, _SCHEMA), "lines")
+    held = features.select("__host", "__text_key", F.explode(F.array_distinct("__keys")).alias("__key"))
+    counts = held.groupBy("__host", "__key").agg(F.countDistinct("__text_key").alias("n")).filter(F.col("n") >= line_docs)
+    hosts = features.groupBy("__host").agg(F.countDistinct("__text_key").alias("all"))
+    over = F.col("n") > line_share * F.col("all")
+    over = over if line_ceiling is None else over | (F.col("n") >= line_ceiling)
+    common = written(counts.join(hosts, "__host").filter(over).select("__key"), "common")
+
+    lines = features.select("__row", F.explode(F.arrays_zip("__keys", "__sizes")).alias("line")).select(
+        "__row", F.col("line.__keys").alias("__key"), F.col("line.__sizes").alias("size"))
+    gone = [F.collect_set("__key").alias("__gone")] if with_lines else []
+    lost = lines.join(broadcast_if_small(common), "__key").groupBy("__row").agg(F.sum("size").alias("lost"), *gone)
+    judged = features.select("__row", "__id", *_BASE).join(lost, "__row", "left")
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    left = F.col("n_words") - F.coalesce("lost", F.lit(0))
+    return judged.select(
+        F.col("__id").alias(id_column), *_BASE, F.coalesce("lost", F.lit(0)).cast("long").alias("n_common_words"),
+        failed.alias("base_failed"), (~failed & (left >= kept_share * F.col("n_words"))).alias("kept"), *(["__gone"] if with_lines else []))
+
+
 def judge_quality(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source",
-    line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS, kept_share: float = KEPT_SHARE,
+    line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS, kept_share: float = KEPT_SHARE, line_ceiling: int | None = None,
 ) -> DataFrame:
     """Counts and verdict for every row of ``docs``.
 
     The base rules reject texts of under 10 words or with over 20 % of their words in repeated 5-word windows.
     Then lines are compared with white space collapsed, A-Z lower-cased and digits alike: of each host, a line held
     by more than ``line_share`` of its distinct texts, ``line_docs`` at least, is common. Exact copies of a text count once,
-    so being copied makes no line common. A document with less than ``kept_share`` of its words outside common
+    so being copied makes no line common. With ``line_ceiling``, a line in so many distinct texts of a host is common whatever
+    its share, so that a large host hides none. A document with less than ``kept_share`` of its words outside common
     lines is depleted and not kept.
 
     Returns id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_common_words, base_failed, kept: a row for
@@ -98,23 +127,7 @@ def judge_quality(
     (line, text) and task, without texts. Common lines are bounded by hosts times lines per document over
     ``line_share``; they are broadcast only when counted to be few.
     """
-    features = written(
-        docs.select(F.monotonically_increasing_id(), F.col(id_column).cast("long").alias("__id"), F.col(text_column).cast("string").alias("__text"),
-                    F.col(host_column).cast("string").alias("__site")).mapInArrow(_features, _SCHEMA), "lines")
-    held = features.select("__host", "__text_key", F.explode(F.array_distinct("__keys")).alias("__key"))
-    counts = held.groupBy("__host", "__key").agg(F.countDistinct("__text_key").alias("n")).filter(F.col("n") >= line_docs)
-    hosts = features.groupBy("__host").agg(F.countDistinct("__text_key").alias("all"))
-    common = written(counts.join(hosts, "__host").filter(F.col("n") > line_share * F.col("all")).select("__key"), "common")
-
-    lines = features.select("__row", F.explode(F.arrays_zip("__keys", "__sizes")).alias("line")).select(
-        "__row", F.col("line.__keys").alias("__key"), F.col("line.__sizes").alias("size"))
-    lost = lines.join(broadcast_if_small(common), "__key").groupBy("__row").agg(F.sum("size").alias("lost"))
-    judged = features.select("__row", "__id", *_BASE).join(lost, "__row", "left")
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    left = F.col("n_words") - F.coalesce("lost", F.lit(0))
-    return judged.select(
-        F.col("__id").alias(id_column), *_BASE, F.coalesce("lost", F.lit(0)).cast("long").alias("n_common_words"),
-        failed.alias("base_failed"), (~failed & (left >= kept_share * F.col("n_words"))).alias("kept"))
+    return _judged(docs, id_column, text_column, host_column, line_share, line_docs, kept_share, line_ceiling, False)
 
 
 def keep_quality(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
@@ -129,3 +142,39 @@ def keep_quality(docs: DataFrame, id_column: str = "doc_id", **options) -> DataF
     judged = judge_quality(keyed, "__key_of", text, host, **{k: v for k, v in options.items() if not k.endswith("_column")})
     kept = judged.filter("kept").select("__key_of").distinct()
     return keyed.join(kept, "__key_of", "left_semi").drop("__key_of")
+
+
+def without_lines(text: str, host: str | None, gone: set[int]) -> str:
+    """``text`` without the lines whose keys on ``host`` are among ``gone``; all other lines as they are."""
+    seed = xxhash.xxh64_intdigest(b"\x00" if host is None else host.encode())
+
+    def stays(line: bytes) -> bool:
+        words = line.split()
+        return not words or signed_hash(b" ".join(words).lower().translate(_DIGITS), seed) not in gone
+
+    return b"\n".join(filter(stays, text.encode("utf-8", "surrogatepass").split(b"\n"))).decode("utf-8", "surrogatepass")
+
+
+def _cut(texts: pd.Series, hosts: pd.Series, gone: pd.Series) -> pd.Series:
+    return pd.Series([None if t is None else without_lines(t, h, set(g)) for t, h, g in zip(texts, hosts, gone)], dtype=object)
+
+
+def clean_quality(
+    docs: DataFrame, text_column: str = "text", host_column: str = "source", line_share: float = LINE_SHARE,
+    line_docs: int = LINE_DOCS, kept_share: float = KEPT_SHARE, line_ceiling: int | None = None,
+) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, their text without the lines that are common on their host.
+
+    All columns are kept; ``__n_cut`` is added, the number of different lines cut (case, digits and white space alike). Verdict
+    and cut depend on text and host alone and are joined on a hash of both, as in :func:`keep_quality`.
+    """
+    text, host = F.col(text_column).cast("string"), F.col(host_column).cast("string")
+    keyed = docs.withColumn("__key_of", F.xxhash64(F.coalesce(text, F.lit("")), F.coalesce(host, F.lit("\x00"))))
+    judged = _judged(keyed, "__key_of", text_column, host_column, line_share, line_docs, kept_share, line_ceiling, True)
+    kept = judged.filter("kept").select("__key_of", "__gone").dropDuplicates(["__key_of"])
+    joined = keyed.join(kept, "__key_of")
+    some = F.col("__gone").isNotNull()
+    cut = F.pandas_udf(_cut, "string")(F.when(some, text), F.when(some, host), F.col("__gone"))
+    return joined.withColumn("__cut", cut).withColumn(text_column, F.when(some, F.col("__cut")).otherwise(text)).withColumn(
+        "__n_cut", F.when(some, F.size("__gone")).otherwise(0)).select(
+        *docs.columns, "__n_cut")

@@ -2,6 +2,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import corpus_pipeline
 from pyspark.sql import functions as F
 
 from aeroweave.llm import html, lines, mixing, quality, urls
@@ -121,6 +122,17 @@ def test_common_lines_deplete_documents_but_copies_do_not(documents):
     assert quality.judge_quality(docs.limit(0)).count() == 0
 
 
+def test_kept_documents_come_without_the_common_lines_of_their_host(spark, documents):
+    own = lambda i: "\n".join(" ".join(f"{chr(97 + (i * 7 + k) % 26)}{chr(97 + i // 26)}w{chr(97 + k)}" for k in range(j, j + 10)) for j in (0, 10))
+    banner = "accept all our many  cookies please Now"
+    rows = [(i, f"{own(i)}\n\n{banner} {i % 10}", "a") for i in range(30)] + [(100, f"{own(50)}\n{banner} 5", "b"), (101, own(51), None), (102, None, "a")]
+    found = {r.doc_id: r for r in corpus_pipeline.keep_quality(spark, documents(rows), "").collect()}
+    assert sorted(found) == [*range(30), 100, 101]
+    assert all(found[i].text == own(i) + "\n" and found[i].n_chars == len(found[i].text) for i in range(30))
+    assert (found[100].text, found[101].text) == (rows[30][1], own(51))  # common on one host is not common on another
+    assert quality.clean_quality(documents(rows).limit(0)).count() == 0
+
+
 def test_counts_of_one_text():
     assert quality.text_counts("a  b\n\na  b\r\na  b\n#*$ x|é퟿")[:5] == (8, 13, 4, 1, 0)
 
