@@ -19,6 +19,8 @@ MAX_REPEAT_PERCENT = 20
 #: A line is common when more than this share of its host's distinct texts, and at least so many of them, hold it.
 LINE_SHARE = 0.1
 LINE_DOCS = 20
+#: In the pipeline a line in so many distinct texts of a host is common whatever its share.
+LINE_CEILING = 40
 #: A document is depleted when less than this share of its words is left without the common lines.
 KEPT_SHARE = 0.2
 _SYMBOLS = str.maketrans("", "", "#*$%&|<>")
@@ -161,7 +163,7 @@ def _cut(texts: pd.Series, hosts: pd.Series, gone: pd.Series) -> pd.Series:
 
 def clean_quality(
     docs: DataFrame, text_column: str = "text", host_column: str = "source", line_share: float = LINE_SHARE,
-    line_docs: int = LINE_DOCS, kept_share: float = KEPT_SHARE, line_ceiling: int | None = None,
+    line_docs: int = LINE_DOCS, kept_share: float = KEPT_SHARE, line_ceiling: int | None = LINE_CEILING,
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep, their text without the lines that are common on their host.
 

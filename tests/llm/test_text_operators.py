@@ -133,6 +133,15 @@ def test_kept_documents_come_without_the_common_lines_of_their_host(spark, docum
     assert quality.clean_quality(documents(rows).limit(0)).count() == 0
 
 
+def test_a_large_host_hides_no_common_line_in_the_pipeline(documents):
+    own = lambda i: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}{chr(97 + k)}" for k in range(12))
+    rows = [(i, own(i) + ("\nread more of this here" if i < 210 else ""), "a") for i in range(2500)]
+    docs = documents(rows)
+    texts = [r.text for r in quality.clean_quality(docs).collect()]  # in 8.4 % of the host's texts
+    assert len(texts) == 2500 and not any("read more" in t for t in texts)
+    assert sum("read more" in r.text for r in quality.clean_quality(docs, line_ceiling=None).collect()) == 210
+
+
 def test_counts_of_one_text():
     assert quality.text_counts("a  b\n\na  b\r\na  b\n#*$ x|é퟿")[:5] == (8, 13, 4, 1, 0)
 
