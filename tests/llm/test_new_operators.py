@@ -250,7 +250,7 @@ def embedded(spark, rows, kind="float"):
         f"vec_id long, embedding array<{kind}>, row string, id long, low long, is_query boolean, units long, score long")
 
 
-@pytest.mark.parametrize("scale_of", [0.2, 3.0, 4e6, 3e8], ids=["unit", "large", "double", "whole"])
+@pytest.mark.parametrize("scale_of", [0.2, 300.0, 4e6], ids=["float", "double", "whole"])
 def test_top_scores_equal_brute_force(spark, scale_of):
     rng = np.random.default_rng(7)
     rows = [(int(i), [float(x) for x in rng.normal(0, scale_of, 6)]) for i in range(300)]
