@@ -40,17 +40,17 @@ class _Side:
 
 
 def _tiles(queries: _Side, candidates: _Side):
-    """Scores of some queries with some candidates, in turn, and which entry is a row with itself."""
+    """Scores of some queries with some candidates, which entry is a row with itself, and whether these are a query's last."""
     deep, broad = _TILE
     _, mine, own = np.intersect1d(queries.rows, candidates.rows, return_indices=True)
     for i in range(0, len(queries.rows), deep):
         for j in range(0, len(candidates.rows), broad):
             scores = queries.matrix[i:i + deep] @ candidates.matrix[j:j + broad].T
             same = (mine >= i) & (mine < i + deep) & (own >= j) & (own < j + broad)
-            yield i, j, scores.astype(np.int64, copy=False), (mine[same] - i, own[same] - j)
+            yield i, j, scores.astype(np.int64, copy=False), (mine[same] - i, own[same] - j), j + broad >= len(candidates.rows)
 
 
-def _histograms(width: int, kind: str, shift: int, k: int):
+def _histograms(width: int, kind: str, shift: int):
     """Counts per query and bin of one cell.
 
     A cell's own kth value is a lower limit of the kth of all, so bins below it are not sent: at most k per query.
@@ -65,7 +65,7 @@ def _histograms(width: int, kind: str, shift: int, k: int):
         low, need = (right.column(c).to_numpy() for c in ("low", "need"))
         found = []
         counts = None
-        for i, j, scores, same in _tiles(queries, candidates):
+        for i, j, scores, same, last in _tiles(queries, candidates):
             size = len(scores)
             if j == 0:
                 counts = np.zeros(size * bins, np.int64)
@@ -74,7 +74,7 @@ def _histograms(width: int, kind: str, shift: int, k: int):
             inside = (at >= 0) & (at < bins)
             at += (np.arange(size) * bins)[:, None]
             counts += np.bincount(at[inside], minlength=size * bins)
-            if j + _TILE[1] >= len(candidates.rows):
+            if last:
                 down = counts.reshape(size, bins)[:, ::-1]
                 sent = (down > 0) & (down.cumsum(axis=1) - down < need[i:i + size, None])
                 which, place = np.nonzero(sent)
@@ -95,9 +95,9 @@ def _hits(width: int, kind: str):
         low, need = (right.column(c).to_numpy() for c in ("low", "need"))
         open_ties = need.copy()
         found = []
-        for i, j, scores, same in _tiles(queries, candidates):
-            last = low[i:i + len(scores), None]
-            over, tied = scores > last, scores == last
+        for i, j, scores, same, _ in _tiles(queries, candidates):
+            kth = low[i:i + len(scores), None]
+            over, tied = scores > kth, scores == kth
             over[same] = tied[same] = False
             tied &= tied.cumsum(axis=1) <= open_ties[i:i + len(scores), None]
             open_ties[i:i + len(scores)] -= tied.sum(axis=1)
@@ -162,7 +162,7 @@ def top_k(
     state = written(asking.select("row", F.lit(-bound).cast("long").alias("low"), F.lit(k).cast("long").alias("need")), "kth")
     down = Window.partitionBy("row").orderBy(F.desc("bin"))
     for shift in range((rounds - 1) * BITS, -1, -BITS):
-        counts = cells(state, _histograms(width, kind, shift, k), "row long, bin long, n long").groupBy("row", "bin").agg(
+        counts = cells(state, _histograms(width, kind, shift), "row long, bin long, n long").groupBy("row", "bin").agg(
             F.sum("n").alias("n"))
         reached = counts.withColumn("upto", F.sum("n").over(down)).join(state, "row")
         holds = (F.col("upto") >= F.col("need")) & (F.col("upto") - F.col("n") < F.col("need"))

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from math import floor
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,11 +268,23 @@ def test_cells_of_any_size_give_the_same(spark, monkeypatch):
     rows = [(int(i), [float(x) for x in rng.integers(-2, 3, 4)]) for i in range(200)]
     want = slow_top(rows, lambda i: i % 20 == 0, 5)
     monkeypatch.setattr(topk, "CELL_NUMBERS", 40)
-    monkeypatch.setattr(topk, "_TILE", (3, 4))
     got = topk.top_k(embedded(spark, rows), F.col("vec_id") % 20 == 0, k=5)
     assert sorted(map(tuple, got.collect()), key=repr) == want
 
 
+def test_tiles_of_any_size_give_the_same(monkeypatch):
+    rng = np.random.default_rng(3)
+    make = lambda n, begin: pa.table({
+        "row": np.arange(begin, begin + n), "id": rng.integers(0, 50, n), "units": pa.array(rng.integers(-3, 4, (n, 5)).tolist(), pa.list_(pa.int32())),
+        "low": np.full(n, -45), "need": np.full(n, 4)})
+    left, right = make(40, 0), make(30, 25)
+    whole = [f(left, right) for f in (topk._histograms(5, "float32", 0), topk._hits(5, "float32"))]
+    monkeypatch.setattr(topk, "_TILE", (7, 6))
+    cut = [f(left, right) for f in (topk._histograms(5, "float32", 0), topk._hits(5, "float32"))]
+    for a, b in zip(whole, cut):
+        assert a.num_rows and sorted(a.to_pylist(), key=repr) == sorted(b.to_pylist(), key=repr)
+
+
 def test_top_scores_of_few_or_no_rows(spark):
     rows = [(0, [1.0, 2.0]), (1, [0.5, 0.5]), (2, None)]
     got = topk.top_k(embedded(spark, rows), F.col("vec_id") % 20 == 0)
