@@ -20,7 +20,7 @@ LISTED = 50
 #: Bytes of text whose pointers are sorted together; a longer text is sorted alone.
 SLICE_BYTES = 4 * 2**20
 #: Terms and sources on one side of a block of the pairwise sums.
-BLOCK_TERMS, BLOCK_SOURCES = 4096, 256
+BLOCK_TERMS, BLOCK_SOURCES = 256, 256
 _UNIT = 1_000_000_000
 
 # Terms are runs of these bytes; no byte of a character beyond ASCII is below 0x80.
