@@ -139,9 +139,13 @@ def test_end_to_end(spark, tmp_path):
     assert final.count() > 0
 
 
+# searches and trees that SQL does not express; test_inference.py holds them against straight versions
+WITHOUT_SQL = {"arima_fit", "arima_forecast", "boosted_trees", "isolation_scores", "density_clusters"}
+
+
 def test_registry_is_complete():
     own = {n for n in registry.queries() if not re.match(r"op\d+_|pipeline$", n)}
-    assert own == {n for n in registry.oracle_sql() if not re.match(r"op\d+_|pipeline$", n)}
+    assert own - WITHOUT_SQL == {n for n in registry.oracle_sql() if not re.match(r"op\d+_|pipeline$", n)}
 
 
 LIGHT = ["gold_air_quality_levels", "dedupe_keep_first", "fill_forward_back", "rolling_7d", "lag_features", "correlation_matrix",
