@@ -1,4 +1,7 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, mixing; each stage reads the one before."""
+"""The corpus pipeline: quality rules, line dedup, near-dedup, decontamination, mixing; each stage reads the one before.
+
+Every stage takes documents with doc_id, text, source and n_chars, of any length, and keeps further columns as they are.
+"""
 
 from __future__ import annotations
 
@@ -10,14 +13,20 @@ from aeroweave.llm.shared import written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep, without the lines common on their host; ``n_chars`` of cut texts counted anew."""
+    """Documents that the quality rules keep, without the lines common on their host; ``n_chars`` of cut texts counted anew.
+
+    Null and empty texts fail the rules, a null host is a host, repeated rows are judged alike, an empty table stays empty.
+    """
     clean = quality.clean_quality(docs)
     chars = F.when(clean["__n_cut"] > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", chars).select(docs.columns)
 
 
 def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without boilerplate lines, their ``n_chars`` counted anew; those of which nothing but white space is left go."""
+    """Documents without boilerplate lines, their ``n_chars`` counted anew; those of which nothing but white space is left go.
+
+    Texts that were null or empty before stay as they are; a null site is a site, repeated rows are cut alike.
+    """
     cut = lines.dedup_lines(docs)
     chars = F.when(cut["__n_removed"] > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     cut = cut.withColumn("n_chars", chars)
@@ -26,21 +35,24 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: texts linked by 0.8 of their five-word shingles.
+    """One document of each group of near duplicates: fingerprints of 3-word shingles, linked at 2 or fewer differing bits.
 
-    Fingerprints of several kinds at two bits only give candidates; every link is compared by whole shingles.
+    The one with the smallest id stays, null ids last; texts without a word are one group.
     """
-    return simhash.keep_one_similar(docs)
+    return simhash.keep_one(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none."""
     return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that all sources have equal shares, in random order; ``copy`` counts from 1."""
-    return mixing.mix_sources(docs).withColumnRenamed("__copy", "copy")
+    """Documents repeated so that all sources have equal shares, in random order; ``copy`` counts from 1 and replaces a column of that name.
+
+    A null source is a source, null and empty texts have no characters, repeated rows and null ids are repeated alike.
+    """
+    return mixing.mix_sources(docs.drop("copy")).withColumnRenamed("__copy", "copy")
 
 
 STAGES = [
