@@ -15,8 +15,10 @@ from aeroweave.llm.shared import arrow_schema, record_batch
 
 #: Lines that one block sums up.
 BLOCK_LINES = 3
-#: Characters that a block must reach for text to surge, on pages that don't mark their article.
+#: Characters that a block must reach for text to surge, or half of the page's fullest block if that is less.
 SURGE_CHARS = 80
+#: A line that the page marks as its article weighs so many times its characters.
+ARTICLE_WEIGHT = 4
 #: Characters that a line of link text counts at most, as a share of its length.
 LINK_SHARE = 0.5
 
@@ -51,7 +53,8 @@ class Line(NamedTuple):
     text: str
     linked: int
     aside: bool
-    article: bool
+    article: int  # number of the outermost element that marks an article, or 0
+    path: tuple[int, ...]  # numbers of the elements around it but for the page and its body, from the outermost
 
 
 def _is_aside(tag: str, attributes: str, in_article: bool) -> bool:
@@ -78,15 +81,15 @@ def page_lines(html: str) -> list[Line]:
     Character references are decoded after the markup is cut away; white space inside a line becomes one space.
     """
     lines: list[Line] = []
-    open_tags: list[tuple[str, bool, bool]] = []  # tag, aside, article: as they hold inside it
+    open_tags: list[tuple[str, bool, int, int]] = []  # tag, aside, article (as they hold inside it), number
     pieces: list[str] = []
-    linked, links, aside, article, at = 0, 0, False, False, 0
+    linked, links, aside, article, at, number = 0, 0, False, 0, 0, 0
 
     def end_line():
         nonlocal linked
         text = " ".join(unescape("".join(pieces)).split())
         if text:
-            lines.append(Line(text, min(linked, len(text)), aside, article))
+            lines.append(Line(text, min(linked, len(text)), aside, article, tuple(t[3] for t in open_tags if t[0] not in ("html", "body"))))
         pieces.clear()
         linked = 0
 
@@ -100,7 +103,7 @@ def page_lines(html: str) -> list[Line]:
     def close(down_to: int):
         nonlocal aside, article
         del open_tags[down_to:]
-        aside, article = open_tags[-1][1:] if open_tags else (False, False)
+        aside, article = open_tags[-1][1:3] if open_tags else (False, 0)
 
     while token := _TOKEN.search(html, at):
         add(html[at:token.start()])
@@ -132,12 +135,15 @@ def page_lines(html: str) -> list[Line]:
                 continue
             links += tag == "a"
             if tag not in VOID_TAGS and (tag in BLOCK_TAGS or tag in ASIDE_TAGS or token[3]):
-                inside = aside or _is_aside(tag, token[3], article)
+                inside = aside or _is_aside(tag, token[3], article > 0)
                 if inside != aside and tag not in BLOCK_TAGS:
                     end_line()
-                aside, article = inside, article or tag in ("article", "main") or "main" == _role(token[3])
+                number += 1
+                aside = inside
+                if not article and (tag in ("article", "main") or "main" == _role(token[3])):
+                    article = number
                 if not token[3].endswith("/") or tag in BLOCK_TAGS:
-                    open_tags.append((tag, aside, article))
+                    open_tags.append((tag, aside, article, number))
     add(html[at:])
     end_line()
     return lines
@@ -148,34 +154,65 @@ def _role(attributes: str) -> str:
     return found[1].lower() if found else ""
 
 
-def article_lines(lines: list[Line], block_lines: int = BLOCK_LINES, surge_chars: int = SURGE_CHARS) -> list[str]:
-    """Lines between the surge and the dive of the text with the most characters.
-
-    A line weighs its characters, or nothing if markup says that it isn't article text (also when links make up most
-    of it); where the page marks an article, lines outside weigh nothing. A block sums ``block_lines`` lines
-    from each on. Text surges where a block reaches ``surge_chars`` (one, in a marked article) at a line with weight, and
-    dives where a block is empty. Of several stretches the one with the most characters is kept, in a marked article all.
-    """
-    marked = any(line.article and not line.aside for line in lines)
-    weights = [
-        0 if line.aside or marked and not line.article or not marked and line.linked > LINK_SHARE * len(line.text)
-        else len(line.text) for line in lines]
-    blocks = [sum(weights[i:i + block_lines]) for i in range(len(weights))]
-    stretches, now, level = [], None, 1 if marked else surge_chars
-    for i, block in enumerate(blocks):
+def _stretches(weights: list[int], level: float, block_lines: int) -> list[list[int]]:
+    """Runs of lines with weight, from where a block reaches ``level`` to where a block is empty."""
+    found, now = [], None
+    for i in range(len(weights)):
+        block = sum(weights[i:i + block_lines])
         if now is None and weights[i] and block >= level:
             now = []
         if now is not None:
             if not block:
-                stretches.append(now)
+                found.append(now)
                 now = None
             elif weights[i]:
                 now.append(i)
-    if now:
-        stretches.append(now)
+    return found + [now] if now else found
+
+
+def _container(lines: list[Line], core: list[int]) -> tuple[int, ...]:
+    """The elements that all lines of ``core`` have around their own."""
+    path = lines[core[0]].path[:-1]
+    for i in core[1:]:
+        same = 0
+        for a, b in zip(path, lines[i].path[:-1]):
+            if a != b:
+                break
+            same += 1
+        path = path[:same]
+    return path
+
+
+def article_lines(lines: list[Line], block_lines: int = BLOCK_LINES, surge_chars: int = SURGE_CHARS) -> list[str]:
+    """Lines of the article: what surges and dives finds it, the elements around it say how far it goes.
+
+    A line weighs its characters, or nothing if markup says that it isn't article text, also when links make up most of it; in an
+    element that marks an article it weighs ARTICLE_WEIGHT times as much. A block sums ``block_lines`` lines from each on. Text surges at
+    a line with weight where a block reaches ``surge_chars``, or half of the fullest block if that is less, and dives where a block is
+    empty. The stretch of most weight is the core. Around it, all that has weight between the first surge and the last dive is kept of
+    the marked article it lies in, there with lines of links too, or else of the innermost element that holds all of it. Where that is
+    the page itself, stretches that surge are kept.
+    """
+    plain = [0 if line.aside else len(line.text) for line in lines]
+    weights = [
+        0 if line.linked > LINK_SHARE * len(line.text) else n * (ARTICLE_WEIGHT if line.article else 1) for n, line in zip(plain, lines)]
+    weights = weights if any(weights) else plain  # a page of links alone
+    blocks = [sum(weights[i:i + block_lines]) for i in range(len(weights))]
+    level = min(surge_chars, max(blocks, default=0) / 2)
+    stretches = _stretches(weights, level, block_lines)
     if not stretches:
         return []
-    kept = sum(stretches, []) if marked else max(stretches, key=lambda s: sum(weights[i] for i in s))
+    core = max(stretches, key=lambda s: sum(weights[i] for i in s))
+    marks = {lines[i].article for i in core} - {0}
+    if marks:
+        mark = max(marks, key=lambda m: sum(weights[i] for i in core if lines[i].article == m))
+        kept = [i for i, line in enumerate(lines) if line.article == mark and plain[i]]
+    else:
+        around = _container(lines, core)
+        if around:
+            kept = [i for i, line in enumerate(lines) if line.path[:len(around)] == around and weights[i]]
+        else:
+            kept = [i for s in stretches for i in s]
     return [lines[i].text for i in kept]
 
 
