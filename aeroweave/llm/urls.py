@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aeroweave.llm.shared import broadcast_if_small
+
 #: Rules of about 150 bytes each that may be broadcast.
 BROADCAST_RULES = 100_000
-#: Path lengths of rules; a URL path has one prefix for each.
-MAX_PATH_LENGTHS = 10_000
+#: Path lengths of rules that are written into the plan; more are joined.
+LISTED_LENGTHS = 1_000
 SALTS = 32
 
 
@@ -53,19 +55,21 @@ def filter_urls(
     rules = rules.select(
         F.concat("host", "path").alias("rule"), F.length("host").alias("host_length"), F.length("path").alias("n"),
         "verdict", F.sha2(F.concat_ws("\n", "host", "path"), 256).alias("rule_digest"))
-    lengths = [row.n for row in rules.select("n").distinct().limit(MAX_PATH_LENGTHS + 1).collect()]
-    if len(lengths) > MAX_PATH_LENGTHS:
-        raise ValueError(f"rules have more than {MAX_PATH_LENGTHS} path lengths")
+    lengths = rules.select("n").distinct()
+    listed = [row.n for row in lengths.limit(LISTED_LENGTHS + 1).collect()]
 
     parts = F.split(F.col("host"), r"\.")
     suffixes = F.transform(
         F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    prefixes = F.transform(
-        F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: n <= F.length("path")),
-        lambda n: F.col("path").substr(F.lit(1), n))
+    addresses = judged.select("host", "path").filter(F.col("host") != "").distinct()
+    if len(listed) <= LISTED_LENGTHS:
+        fitting = F.filter(F.array(*[F.lit(n) for n in listed]).cast("array<int>"), lambda n: n <= F.length("path"))
+        sized = addresses.withColumn("n", F.explode(fitting))
+    else:
+        # every length of a path, of which those remain that a rule has
+        sized = addresses.withColumn("n", F.explode(F.sequence(F.lit(0), F.length("path")))).join(broadcast_if_small(lengths), "n", "left_semi")
     expressions = (
-        judged.select("host", "path").filter(F.col("host") != "").distinct()
-        .withColumn("suffix", F.explode(suffixes)).withColumn("prefix", F.explode(prefixes))
+        sized.withColumn("prefix", F.col("path").substr(F.lit(1), F.col("n"))).withColumn("suffix", F.explode(suffixes))
         .select("host", "path", F.sha2(F.concat_ws("\n", "suffix", "prefix"), 256).alias("digest"))
         .withColumn("short", F.substring("digest", 1, 8)))
     rules = rules.withColumn("rule_short", F.substring("rule_digest", 1, 8))
