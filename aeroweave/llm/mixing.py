@@ -9,8 +9,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Groups whose rate and table of probabilities may be broadcast.
-BROADCAST_GROUPS = 10_000
+from aeroweave.llm.shared import written
+
+#: Probabilities of all sources together that may be broadcast, 16 MB of them.
+BROADCAST_NUMBERS = 2_000_000
 #: More passes over the whole corpus than this are refused; a source's own rate has no limit.
 MAX_EPOCHS = 10_000.0
 #: Mean repetitions from which a table of probabilities holds only the part around the mean.
@@ -89,16 +91,19 @@ def mix_sources(
     share one number. A source without characters (all texts null or empty) has rate 0.
 
     All columns are kept; ``__copy`` counts from 1. Rows are dealt to partitions and ordered within them by
-    a hash of seed, id, text and copy. A source may be as small as it is: its rate has no limit. A hot source is only summed, never gathered; the rates are broadcast when counted
-    to be few and otherwise joined over salts.
+    a hash of seed, id, text and copy. A source may be as small as it is: its rate has no limit. A hot source is only summed, never gathered; rates and their
+    tables of probabilities are broadcast when their numbers were counted to be few, and otherwise joined over salts. An empty table
+    gives no rows. Input columns whose names begin with two underscores and clash are not supported: ``__copy``, ``__group``, ``__u``,
+    ``__n``, ``__from``, ``__order``, ``__salt``, ``__rate``, ``__low``, ``__table``.
     """
     if epochs > MAX_EPOCHS:
         raise ValueError(f"the corpus would have to be repeated more than {MAX_EPOCHS:g} times")
-    rates = target_rates(docs, weights, source_column, text_column, epochs)
+    rates = written(target_rates(docs, weights, source_column, text_column, epochs), "rates")
     named = docs.withColumns({
         "__group": F.coalesce(F.col(source_column).cast("string"), F.lit(_NONE)),
         "__u": uniform(F.col(id_column), seed, "copies")})
-    if docs.select(source_column).distinct().count() <= BROADCAST_GROUPS:
+    numbers = rates.agg(F.sum(F.size("__table") + 8)).first()[0] or 0
+    if numbers <= BROADCAST_NUMBERS:
         joined = named.join(F.broadcast(rates), "__group")
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))

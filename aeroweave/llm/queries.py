@@ -21,8 +21,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents mixed to equal shares of all sources, at the size of the corpus."""
-    return mixing.mix_sources(_table(spark, sf_dir, "documents")).withColumnRenamed("__copy", "copy")
+    """All documents mixed to equal shares of all sources, at the size of the corpus; ``copy`` replaces a column of that name."""
+    return mixing.mix_sources(_table(spark, sf_dir, "documents").drop("copy")).withColumnRenamed("__copy", "copy")
 
 
 def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +177,7 @@ SQL = {
             from lw where len(ws) > 0),
         hosts as (select host, count(distinct text) as n from d group by host),
         common as (select host, key from lk join hosts using (host) group by host, key, n
-            having count(distinct tk) >= 20 and count(distinct tk) > 0.1 * n),
+            having count(distinct tk) >= 20 and count(distinct tk) ** 2 > 4 * n),
         per as (select rid, sum(dup::int)::bigint as n_dup_lines,
             coalesce(sum(len(ws)) filter (where c.key is not null), 0)::bigint as lost
             from lk left join common c on lk.host = c.host and lk.key = c.key group by rid),
@@ -192,7 +192,8 @@ SQL = {
         with rules(host, path, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'),
             ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
         rest as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest from pages),
-        parts as (select page_id, lower(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), '')) as host,
+        parts as (select page_id, translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
             coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from rest),
         fits as (select p.page_id, p.host, p.path, r.host || r.path as rule, r.verdict,
             row_number() over (partition by p.page_id order by length(r.host || r.path) desc nulls last,
@@ -216,14 +217,14 @@ SQL = {
         with sized as (select coalesce(source, chr(1)) as grp, sum(coalesce(length(text), 0)) as chars from documents group by 1),
         rates as (select grp, case when chars > 0 then sum(chars) over () * 1.0 / (count(*) filter (where chars > 0) over ()) / chars
             else 0 end as rate from sized),
-        pmf as (select grp, rate, k, exp(k * ln(rate) - rate - lgamma(k + 1)) as p
-            from rates, generate_series(0, 400) t(k) where rate > 0 and k <= rate + 12 * sqrt(rate) + 40),
+        ks as (select grp, rate, unnest(generate_series(0, (rate + 12 * sqrt(rate) + 40)::bigint)) as k from rates where rate > 0),
+        pmf as (select grp, rate, k, exp(k * ln(rate) - rate - lgamma(k + 1)) as p from ks),
         cdf as (select grp, k, sum(p) over (partition by grp order by k) as c from pmf),
         u as (select *, coalesce(source, chr(1)) as grp, (('0x' || substr(md5('copies:20240:' || coalesce(doc_id::varchar,
             'null')), 1, 12))::bigint + 0.5) / 281474976710656.0 as u from documents),
         n as (select u.doc_id, u.text, u.lang, u.source, u.n_chars, count(*) filter (where c.c < u.u) as n
             from u join cdf c using (grp) group by all)
-        select doc_id, text, lang, source, n_chars, copy::int as copy from n, generate_series(1, 400) t(copy) where copy <= n""",
+        select doc_id, text, lang, source, n_chars, unnest(generate_series(1, n))::int as copy from n""",
     "op11_audit_sources": r"""
         with d as (select row_number() over () as rid, coalesce(text, '') as text, coalesce(lang, '') as lang,
             coalesce(source, '') as source from documents),
