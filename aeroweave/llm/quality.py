@@ -16,11 +16,10 @@ from aeroweave.llm.shared import arrow_schema, broadcast_if_small, record_batch,
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
-#: A line is common when more than this share of its host's distinct texts, and at least so many of them, hold it.
-LINE_SHARE = 0.1
+#: A line is common when at least so many of its host's distinct texts hold it, and more than LINE_ROOT times the root of their
+#: number: 45 of 500, 200 of 10,000, 2,000 of a million. So a larger host takes more, but a smaller share of its texts.
 LINE_DOCS = 20
-#: In the pipeline a line in so many distinct texts of a host is common whatever its share.
-LINE_CEILING = 40
+LINE_ROOT = 2
 #: A document is depleted when less than this share of its words is left without the common lines.
 KEPT_SHARE = 0.2
 _SYMBOLS = str.maketrans("", "", "#*$%&|<>")
@@ -82,8 +81,8 @@ def _features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _judged(
-    docs: DataFrame, id_column: str, text_column: str, host_column: str, line_share: float, line_docs: int, kept_share: float,
-    line_ceiling: int | None, with_lines: bool,
+    docs: DataFrame, id_column: str, text_column: str, host_column: str, line_docs: int, line_root: float, kept_share: float,
+    with_lines: bool,
 ) -> DataFrame:
     """As :func:`judge_quality`; ``with_lines`` adds ``__gone``, the keys of a row's common lines (null if none)."""
     features = written(
@@ -92,8 +91,7 @@ def _judged(
     held = features.select("__host", "__text_key", F.explode(F.array_distinct("__keys")).alias("__key"))
     counts = held.groupBy("__host", "__key").agg(F.countDistinct("__text_key").alias("n")).filter(F.col("n") >= line_docs)
     hosts = features.groupBy("__host").agg(F.countDistinct("__text_key").alias("all"))
-    over = F.col("n") > line_share * F.col("all")
-    over = over if line_ceiling is None else over | (F.col("n") >= line_ceiling)
+    over = F.col("n") * F.col("n") > line_root * line_root * F.col("all")
     common = written(counts.join(hosts, "__host").filter(over).select("__key"), "common")
 
     lines = features.select("__row", F.explode(F.arrays_zip("__keys", "__sizes")).alias("line")).select(
@@ -110,40 +108,24 @@ def _judged(
 
 def judge_quality(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", host_column: str = "source",
-    line_share: float = LINE_SHARE, line_docs: int = LINE_DOCS, kept_share: float = KEPT_SHARE, line_ceiling: int | None = None,
+    line_docs: int = LINE_DOCS, line_root: float = LINE_ROOT, kept_share: float = KEPT_SHARE,
 ) -> DataFrame:
     """Counts and verdict for every row of ``docs``.
 
     The base rules reject texts of under 10 words or with over 20 % of their words in repeated 5-word windows.
     Then lines are compared with white space collapsed, A-Z lower-cased and digits alike: of each host, a line held
-    by more than ``line_share`` of its distinct texts, ``line_docs`` at least, is common. Exact copies of a text count once,
-    so being copied makes no line common. With ``line_ceiling``, a line in so many distinct texts of a host is common whatever
-    its share, so that a large host hides none. A document with less than ``kept_share`` of its words outside common
-    lines is depleted and not kept.
+    by more than ``line_root`` times the root of the number of its distinct texts, ``line_docs`` at least, is common. Exact copies of a
+    text count once, so being copied makes no line common. A document with less than ``kept_share`` of its words outside common
+    lines is depleted and not kept. An empty table gives no rows; texts may be of any length.
 
     Returns id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_common_words, base_failed, kept: a row for
     each row of the input, repeated ones included. A null or empty text has no words and fails the base rules; a null
     host is a host of its own.
 
     Each text is read once; its line hashes go to a table in the shared folder. Counting sends one row per distinct
-    (line, text) and task, without texts. Common lines are bounded by hosts times lines per document over
-    ``line_share``; they are broadcast only when counted to be few.
+    (line, text) and task, without texts. Common lines are broadcast only when counted to be few.
     """
-    return _judged(docs, id_column, text_column, host_column, line_share, line_docs, kept_share, line_ceiling, False)
-
-
-def keep_quality(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`judge_quality` keeps, all columns as they are.
-
-    A verdict depends on text and host alone, so it is joined on a hash of both: rows that share an id, or have
-    none, each stay or go by their own text.
-    """
-    text, host = options.get("text_column", "text"), options.get("host_column", "source")
-    key = F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")), F.coalesce(F.col(host).cast("string"), F.lit("\x00")))
-    keyed = docs.withColumn("__key_of", key)
-    judged = judge_quality(keyed, "__key_of", text, host, **{k: v for k, v in options.items() if not k.endswith("_column")})
-    kept = judged.filter("kept").select("__key_of").distinct()
-    return keyed.join(kept, "__key_of", "left_semi").drop("__key_of")
+    return _judged(docs, id_column, text_column, host_column, line_docs, line_root, kept_share, False)
 
 
 def without_lines(text: str, host: str | None, gone: set[int]) -> str:
@@ -162,17 +144,19 @@ def _cut(texts: pd.Series, hosts: pd.Series, gone: pd.Series) -> pd.Series:
 
 
 def clean_quality(
-    docs: DataFrame, text_column: str = "text", host_column: str = "source", line_share: float = LINE_SHARE,
-    line_docs: int = LINE_DOCS, kept_share: float = KEPT_SHARE, line_ceiling: int | None = LINE_CEILING,
+    docs: DataFrame, text_column: str = "text", host_column: str = "source", line_docs: int = LINE_DOCS,
+    line_root: float = LINE_ROOT, kept_share: float = KEPT_SHARE,
 ) -> DataFrame:
     """The rows of ``docs`` that the rules keep, their text without the lines that are common on their host.
 
     All columns are kept; ``__n_cut`` is added, the number of different lines cut (case, digits and white space alike). Verdict
-    and cut depend on text and host alone and are joined on a hash of both, as in :func:`keep_quality`.
+    and cut depend on text and host alone and are joined on a hash of both, so rows that share an id, or have none, each stay or go by
+    their own text. Lines, nulls, repeated rows and empty tables are as in :func:`judge_quality`. The names ``__key_of``, ``__gone``, ``__cut`` and
+    ``__n_cut`` are taken.
     """
     text, host = F.col(text_column).cast("string"), F.col(host_column).cast("string")
     keyed = docs.withColumn("__key_of", F.xxhash64(F.coalesce(text, F.lit("")), F.coalesce(host, F.lit("\x00"))))
-    judged = _judged(keyed, "__key_of", text_column, host_column, line_share, line_docs, kept_share, line_ceiling, True)
+    judged = _judged(keyed, "__key_of", text_column, host_column, line_docs, line_root, kept_share, True)
     kept = judged.filter("kept").select("__key_of", "__gone").dropDuplicates(["__key_of"])
     joined = keyed.join(kept, "__key_of")
     some = F.col("__gone").isNotNull()
