@@ -15,7 +15,7 @@ from aeroweave.llm.shared import arrow_schema, record_batch
 GRAM = 8
 #: Edits allowed per character of an item.
 EDIT_SHARE = 0.08
-#: Shorter items (white space collapsed) can't be told from chance and leak nothing.
+#: Shorter items (white space collapsed) are searched for as they are, between word borders, without edits.
 MIN_CHARS = 24
 #: Characters of benchmark that one scan holds; larger benchmarks are scanned for in blocks.
 BLOCK_CHARS = 1_000_000
@@ -58,7 +58,14 @@ class Items:
     """Benchmark items ready to be searched for: their grams in order, and a bit table that rules most numbers out."""
 
     def __init__(self, rows: list[tuple[int, str]], edit_share: float = EDIT_SHARE, min_chars: int = MIN_CHARS):
-        kept = [(item_id, text) for item_id, text in ((i, plain(t or "")) for i, t in rows) if len(text) >= max(min_chars, GRAM)]
+        flat = [(item_id, plain(t or "")) for item_id, t in rows]
+        kept = [(item_id, text) for item_id, text in flat if len(text) >= max(min_chars, GRAM)]
+        #: ids of short items by their number of words and their text
+        self.short: dict[int, dict[str, list[int]]] = {}
+        for item_id, text in flat:
+            if text and len(text) < max(min_chars, GRAM):
+                self.short.setdefault(text.count(" ") + 1, {}).setdefault(text, []).append(item_id)
+        self.first_words = {size: {text.split(" ")[0] for text in items} for size, items in self.short.items()}
         self.ids = [item_id for item_id, _ in kept]
         self.signs = [np.array([ord(c) for c in text], np.int32) for _, text in kept]
         sizes = np.array([len(s) for s in self.signs], np.int64)
@@ -104,6 +111,19 @@ class Items:
                     found.append((int(i[s]), int(d[s]), int(d[e - 1])))
         return found
 
+    def exact(self, text: str) -> list[tuple[int, int, int, int]]:
+        """(item id, 0, start, stop) of the first place of every short item that ``text`` holds as whole words."""
+        found: dict[str, tuple[int, int, int]] = {}
+        words = text.split(" ") if self.short else []
+        starts = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
+        for size, items in self.short.items():
+            for i in range(len(words) - size + 1):
+                if words[i] in self.first_words[size]:
+                    part = " ".join(words[i:i + size])
+                    if part in items:
+                        found.setdefault(part, (0, starts[i], starts[i] + len(part)))
+        return [(item_id, *place) for part, place in found.items() for item_id in self.short[part.count(" ") + 1][part]]
+
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item id, edits, start, stop) of the best region of every item that ``text`` holds within its edit budget."""
         text = plain(text or "")
@@ -120,7 +140,7 @@ class Items:
             if cost <= edits:
                 stop = min(start + stop, len(text))
                 best[item] = min(best.get(item, (edits + 1, 0, 0)), (cost, max(0, stop - len(sign) - cost), stop))
-        return [(self.ids[item], *found) for item, found in sorted(best.items())]
+        return [(self.ids[item], *found) for item, found in sorted(best.items())] + self.exact(text)
 
 
 def _blocks(benchmark: DataFrame, item_column: str, text_column: str) -> Iterator[list[tuple[int, str]]]:
@@ -140,8 +160,9 @@ def find_leaks(
     """Every (document, item) where the whole document holds the item within EDIT_SHARE edits per character.
 
     Returns id, item_id, edits and the matched span (``start``, ``stop``) in the lower-cased text with white space collapsed; the
-    start is the earliest the alignment allows. Documents and items with a null or empty text match nothing; items with the
-    same text each match; repeated rows repeat their matches. Documents are scanned in place without a shuffle, once per
+    start is the earliest the alignment allows. Items of fewer than MIN_CHARS characters are found as they are, as whole words (their first
+    place). Documents and items with a null or empty text match nothing; items with the same text each match; repeated rows repeat
+    their matches. Texts may be of any length; an empty table of documents or items gives no rows. Documents are scanned in place without a shuffle, once per
     block of the benchmark; a block is bounded, so it may be held by every task.
     """
     columns = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("t"))
