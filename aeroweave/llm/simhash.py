@@ -21,24 +21,17 @@ BITS = 64
 MAX_DISTANCE = 2
 #: Segments of the ring of bits.
 SEGMENTS = 9
-#: Words of the shingles that decide whether texts are near duplicates, and the least share of them in percent.
-NEAR_WORDS = 5
-NEAR_PERCENT = 80
-#: Fingerprints that give candidates, as (words, distinct, hash seed): changed words leave the different words of a text
-#: mostly together, and each seed finds part of the pairs on its own.
-NEAR_KINDS = ((WORDS, False, HASH_SEED), (NEAR_WORDS, True, HASH_SEED), *((1, True, HASH_SEED + k) for k in range(6)))
 _SCHEMA = "id long, text_key long, fingerprint long"
 _LAST = 2**63 - 1
 
 
-def fingerprint(text: str, width: int = WORDS, distinct: bool = False, seed: int = HASH_SEED) -> int:
-    """Bits set in over half of the XXH64 hashes of the shingles of ``width`` words, or of the different ones; 0 without a word."""
+def fingerprint(text: str, width: int = WORDS) -> int:
+    """Bits set in over half of the XXH64 hashes of the shingles of ``width`` words; 0 without a word."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
     shingles = [b" ".join(words)] if len(words) < width else map(b" ".join, zip(*(words[i:] for i in range(width))))
-    shingles = set(shingles) if distinct else shingles
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(seed)), "<u8")
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(HASH_SEED)), "<u8")
     counts = np.zeros(BITS, np.int64)
     for part in range(0, len(hashes), 1 << 15):
         octets = hashes[part:part + (1 << 15)].view(np.uint8).reshape(-1, 8)
@@ -46,39 +39,15 @@ def fingerprint(text: str, width: int = WORDS, distinct: bool = False, seed: int
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(width: int, distinct: bool):
+def _fingerprints(width: int):
     def fingerprints(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(_SCHEMA)
         for part in parts:
-            found = np.array([fingerprint(text, width, distinct) for text in part.column(2).to_pylist()], np.uint64).view(np.int64)
+            found = np.array([fingerprint(text, width) for text in part.column(2).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found)], schema=schema)
     return fingerprints
 
 
-def shingle_set(text: str) -> np.ndarray:
-    """Hashes of the different shingles of NEAR_WORDS words; a shorter text is one shingle, a text without a word has none."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    n = min(NEAR_WORDS, len(words))
-    shingles = set(map(b" ".join, zip(*(words[i:] for i in range(n)))))
-    return np.unique(np.fromiter(map(xxhash.xxh64_intdigest, shingles), "<u8", len(shingles))).view(np.int64)
-
-
-def _near_prints(kinds: tuple[tuple[int, bool, int], ...]):
-    def prints(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("id long, text_key long, prints array<long>")
-        for part in parts:
-            found = [np.array([fingerprint(text, *kind) for kind in kinds], np.uint64).view(np.int64) for text in part.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.int64()))], schema=schema)
-    return prints
-
-
-def _shingle_sets(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = arrow_schema("node long, shingles array<long>")
-    for part in parts:
-        sets = pa.array([shingle_set(text) for text in part.column(1).to_pylist()], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([part.column(0), sets], schema=schema)
-
-
 def segment_masks(first: int, length: int, segments: int = SEGMENTS) -> int:
     """The bits of ``length`` consecutive segments on the ring, from segment ``first`` on, as a signed long."""
     mask = 0
@@ -143,16 +112,17 @@ def near_links(prints: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
 
 
 def near_groups(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WORDS, distinct: bool = False,
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WORDS,
 ) -> DataFrame:
     """``id``, ``text_key``, ``fingerprint`` and ``component`` (the smallest id reachable over links) of every row.
 
     A null text counts as empty; texts without a word have fingerprint zero and are linked like any other. Null ids are
-    never the smallest unless all are null. Copies share a fingerprint, so only distinct fingerprints are compared.
+    never the smallest unless all are null. Copies share a fingerprint, so only distinct fingerprints are compared. Repeated rows repeat
+    their result, an empty table gives no rows, and texts may be of any length. Only the two named columns are read.
     """
     prints = written(docs.select(
         F.col(id_column).cast("long").alias("id"), F.xxhash64(text_or_empty(text_column)).alias("text_key"),
-        text_or_empty(text_column).alias("text")).mapInArrow(_fingerprints(width, distinct), _SCHEMA), "fingerprints")
+        text_or_empty(text_column).alias("text")).mapInArrow(_fingerprints(width), _SCHEMA), "fingerprints")
     distinct = prints.groupBy("fingerprint").agg(F.min("id").alias("least"))
     roots = components(near_links(distinct.select("fingerprint")))
     labelled = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
@@ -162,67 +132,14 @@ def near_groups(
     return prints.join(groups, "fingerprint")
 
 
-def keep_one(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", kinds: tuple[tuple[int, bool], ...] = ((WORDS, False),),
-) -> DataFrame:
-    """One row of each near-duplicate group of ``docs``, all columns as they are: the one with the smallest id.
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = WORDS) -> DataFrame:
+    """One row of each group of :func:`near_groups`, all columns as they are: the one with the smallest id.
 
-    ``kinds`` are the shingles to fingerprint, as (words, distinct); a row stays if it is the first of its group for
-    every kind, so whatever goes has an earlier row in a group of its own. Of rows with the smallest id, the one with the least
-    text hash stays; of fully equal (id, text) rows, any one. Null ids come last.
+    Of rows with the smallest id, the one with the least text hash stays; of fully equal (id, text) rows, any one. Null ids come
+    last. Texts without a word are one group. An empty table gives no rows. The names ``__id`` and ``__key`` are taken.
     """
     order = F.struct(F.coalesce("id", F.lit(_LAST)).alias("__id"), F.col("text_key").alias("__key"))
+    chosen = near_groups(docs, id_column, text_column, width).groupBy("group").agg(F.min(order).alias("first")).select("first.*")
     kept = docs.withColumns({
         "__id": F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST)), "__key": F.xxhash64(text_or_empty(text_column))})
-    for width, distinct in kinds:
-        groups = near_groups(docs, id_column, text_column, width, distinct)
-        chosen = groups.groupBy("group").agg(F.min(order).alias("first")).select("first.*")
-        kept = kept.join(chosen, ["__id", "__key"], "left_semi")
-    return kept.dropDuplicates(["__id", "__key"]).drop("__id", "__key")
-
-
-def similar_links(texts: DataFrame, prints: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` between ``text_key`` values whose texts share NEAR_PERCENT of their different five-word shingles.
-
-    ``prints`` has ``text_key``, ``kind`` and ``fingerprint``, ``texts`` has ``text_key`` and ``text``. Candidates are texts
-    within MAX_DISTANCE bits in any kind; of equal fingerprints the texts with the least and the greatest key stand for all
-    in links to others, and all others are candidates with these two. Every candidate is compared by its whole shingles.
-    """
-    ends = written(prints.groupBy("kind", "fingerprint").agg(
-        F.array_distinct(F.array(F.min("text_key"), F.max("text_key"))).alias("ends")), "ends")
-    one = lambda side: ends.select("kind", F.col("fingerprint").alias(side), F.explode("ends").alias(f"{side}_text"))
-    apart = near_links(ends.select("kind", "fingerprint"), ("kind",)).join(one("a"), ["kind", "a"]).join(one("b"), ["kind", "b"])
-    alike = prints.join(ends.filter(F.size("ends") > 1), ["kind", "fingerprint"]).select(
-        F.col("text_key").alias("a_text"), F.explode("ends").alias("b_text"))
-    candidates = written(apart.select("a_text", "b_text").union(alike).filter("a_text <> b_text").select(
-        F.least("a_text", "b_text").alias("a"), F.greatest("a_text", "b_text").alias("b")).distinct(), "candidates")
-    nodes = candidates.select(F.explode(F.array("a", "b")).alias("text_key")).distinct()
-    sets = written(texts.join(nodes, "text_key", "left_semi").dropDuplicates(["text_key"]).select("text_key", "text").mapInArrow(
-        _shingle_sets, "node long, shingles array<long>"), "shingles")
-    side = lambda name: sets.select(F.col("node").alias(name), F.col("shingles").alias(f"{name}_set"))
-    shared = F.size(F.array_intersect("a_set", "b_set"))
-    either = F.size("a_set") + F.size("b_set") - shared
-    return candidates.join(side("a"), "a").join(side("b"), "b").filter(100 * shared >= NEAR_PERCENT * either).select("a", "b")
-
-
-def keep_one_similar(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", kinds: tuple[tuple[int, bool, int], ...] = NEAR_KINDS,
-) -> DataFrame:
-    """One row of each group of near duplicates of ``docs``, all columns as they are: the one with the smallest id.
-
-    Groups are linked by :func:`similar_links` alone, so a row goes only if a chain of texts leads to the row that stays of
-    which each shares NEAR_PERCENT of its five-word shingles with the next. Texts without a word are one group.
-    Ties and null ids are as in :func:`keep_one`.
-    """
-    text = text_or_empty(text_column)
-    prints = written(docs.select(F.col(id_column).cast("long").alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text")).mapInArrow(
-        _near_prints(kinds), "id long, text_key long, prints array<long>"), "fingerprints")
-    each = prints.dropDuplicates(["text_key"]).select("text_key", F.posexplode("prints").alias("kind", "fingerprint"))
-    texts = docs.select(F.xxhash64(text).alias("text_key"), text.alias("text"))
-    roots = components(similar_links(texts, each))
-    order = F.struct(F.coalesce("id", F.lit(_LAST)).alias("__id"), F.col("text_key").alias("__key"))
-    firsts = prints.groupBy("text_key").agg(F.min(order).alias("first"))
-    chosen = firsts.join(roots, F.col("text_key") == F.col("node"), "left").groupBy(F.coalesce("root", "text_key").alias("group")).agg(
-        F.min("first").alias("first")).select("first.*")
-    kept = docs.withColumns({"__id": F.coalesce(F.col(id_column).cast("long"), F.lit(_LAST)), "__key": F.xxhash64(text)})
     return kept.join(chosen, ["__id", "__key"], "left_semi").dropDuplicates(["__id", "__key"]).drop("__id", "__key")
