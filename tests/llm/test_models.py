@@ -34,6 +34,13 @@ def damaged(text, edits, rng):
     return "".join(chars)
 
 
+def test_short_items_are_found_as_whole_words():
+    ready = decontaminate.Items([(1, "Short one"), (2, "short  ONE"), (3, "a"), (4, "x y z"), (5, ""), (6, None), (7, "twenty four characters ok")])
+    found = ready.matches("This SHORT\n one is a short one, b a")
+    assert sorted(found) == [(1, 0, 5, 14), (2, 0, 5, 14), (3, 0, 18, 19)]
+    assert ready.matches("shortone x y zz") == [] and ready.matches("x y z") == [(4, 0, 0, 5)] and ready.matches(None) == []
+
+
 def test_leaks_equal_brute_force_edit_distances():
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(2, 7)))
@@ -191,3 +198,19 @@ def test_scores_of_texts(documents):
     held = [r for r in language_model.score_texts(documents(rows), rounds=3).collect() if r.held_out and r.doc_id < 900]
     assert sum(r.score for r in held) > sum(r.base_score for r in held)  # the order of words is learnt
     assert language_model.score_texts(documents(rows).limit(0)).count() == 0
+
+
+def test_scores_do_not_depend_on_partitions(documents, monkeypatch):
+    monkeypatch.setattr(language_model, "SHARE_WORDS", 2_000)
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice("abcdefgh") * 2 for _ in range(rng.randint(1, 60))), "s") for i in range(400)]
+    first, second = ({r.doc_id: r.score for r in language_model.score_texts(documents(rows).repartition(n)).collect()} for n in (1, 7))
+    assert language_model.shares_of(12_000) == 3 and first.keys() == second.keys()
+    assert all(math.isclose(first[i], second[i], rel_tol=1e-4) for i in first)
+
+
+def test_frequent_words_never_exceed_their_number(spark):
+    counts = spark.createDataFrame([(f"w{i}".encode(), 5) for i in range(3000)] + [(b"top", 900), (b"next", 800)], "word binary, n long")
+    some = [bytes(r.word) for r in language_model.frequent_words(counts, 1000).collect()]
+    assert 600 < len(some) <= 1000 and {b"top", b"next"} <= set(some)
+    assert language_model.frequent_words(counts, 10_000).count() == 3002

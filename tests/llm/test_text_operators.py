@@ -118,7 +118,8 @@ def test_common_lines_deplete_documents_but_copies_do_not(documents):
     by = {r.doc_id: r for r in judged}
     assert (by[400].n_words, by[400].base_failed, by[400].kept) == (0, True, False)
     assert by[0].n_common_words == 14 and by[100].n_common_words == 28
-    assert quality.keep_quality(docs).count() == sum(r.kept for r in judged) and quality.keep_quality(docs).columns == docs.columns
+    clean = quality.clean_quality(docs)
+    assert clean.count() == sum(r.kept for r in judged) and clean.columns == [*docs.columns, "__n_cut"]
     assert quality.judge_quality(docs.limit(0)).count() == 0
 
 
@@ -133,13 +134,15 @@ def test_kept_documents_come_without_the_common_lines_of_their_host(spark, docum
     assert quality.clean_quality(documents(rows).limit(0)).count() == 0
 
 
-def test_a_large_host_hides_no_common_line_in_the_pipeline(documents):
+def test_a_common_line_needs_more_texts_on_a_larger_host_but_a_smaller_share(documents):
     own = lambda i: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}{chr(97 + k)}" for k in range(12))
-    rows = [(i, own(i) + ("\nread more of this here" if i < 210 else ""), "a") for i in range(2500)]
-    docs = documents(rows)
-    texts = [r.text for r in quality.clean_quality(docs).collect()]  # in 8.4 % of the host's texts
-    assert len(texts) == 2500 and not any("read more" in t for t in texts)
-    assert sum("read more" in r.text for r in quality.clean_quality(docs, line_ceiling=None).collect()) == 210
+    rows = [(i, own(i) + ("\nread more of this here" if i < 110 else "\nnot so common a line" if i < 190 else ""), "a") for i in range(2500)]
+    rows += [(3000 + i, own(i) + ("\nread more of this here" if i < 21 else "\nnot so common a line" if i < 40 else ""), "b") for i in range(90)]
+    texts = {r.doc_id: r.text for r in quality.clean_quality(documents(rows)).collect()}
+    count = lambda line, low: sum(line in t for i, t in texts.items() if (i < 3000) == (low < 3000))
+    assert len(texts) == 2590
+    assert (count("read more", 0), count("not so common", 0)) == (0, 80)  # 110 and 80 of 2,500; the limit is 100
+    assert (count("read more", 3000), count("not so common", 3000)) == (0, 19)  # 21 and 19 of 90; the limit is 20
 
 
 def test_counts_of_one_text():
@@ -196,9 +199,19 @@ def test_blocks_surge_and_dive_in_pages_without_marks():
     assert html.main_text(page) == "\n".join([text.strip()] * 3 + ["Short.", (text * 2).strip()])
 
 
+def test_pages_with_and_without_the_mark_give_the_same_text():
+    assert html.main_text(PAGE.replace("<article>", "<div>").replace("</article>", "</div>")) == html.main_text(PAGE)
+    text = "Words of an article that goes on for a while, and then for a while longer. "
+    links = '<p><a href="/x">elsewhere</a></p>' * 4
+    page = f"<body><div><h1>Head</h1><p>{text * 3}</p>{links}<p>{text}</p><p>End.</p></div><div>{links}</div><p>Imprint</p></body>"
+    assert html.main_text(page) == "\n".join(["Head", (text * 3).strip(), text.strip(), "End."])
+    cards = "<article><p>Teaser one.</p></article>" + f"<article><p>{text * 5}</p><p>Last.</p></article>" + "<article><p>Teaser two.</p></article>"
+    assert html.main_text(f"<body>{cards}</body>") == (text * 5).strip() + "\nLast."
+
+
 @pytest.mark.parametrize("page,expected", [
     ("", ""), ("<article></article>", ""), ("<article>a &am", "a &am"), ("<article><p>x<p>y</art", "x\ny"), ("<article>1 < 2 &amp b", "1 < 2 & b"),
-    ("<article><p>a<script>b", "a"), ("<article>a<!-- b", "a"), ("<article><p title='>'>q</p>", "q"), ("<div>no</div>", ""),
+    ("<article><p>a<script>b", "a"), ("<article>a<!-- b", "a"), ("<article><p title='>'>q</p>", "q"), ("<div>no</div>", "no"), ("<h1>Head</h1><div>The lake froze at dawn.</div>", "Head\nThe lake froze at dawn."), ("<p><a href=/>link</a></p>", "link"),
     ("<article>&nbsp;a&nbsp;&nbsp;b&#x20;</article>", "a b"), ("<main><p hidden>no<p>yes</main>", "yes"),
 ])
 def test_odd_pages(page, expected):
