@@ -31,10 +31,14 @@ def flatten_stations(df: DataFrame, payload: str = "payload") -> DataFrame:
     return full.select("station_id", *[F.col("_slots")[i].alias(n) for i, n in enumerate(STATION_SLOTS, start=1)])
 
 
-def _component_id(item: Column) -> Column:
-    """Number a component item starts with; null for anything but a list of two or more that starts with one."""
-    is_list = item.rlike(r"^\s*\[\s*[-0-9]") & item.contains(",")
-    return F.when(is_list, F.get_json_object(item, "$[0]").try_cast("double"))
+def _slots(item: Column) -> Column:
+    """A component item as texts; null for anything but a list that starts with a number."""
+    return F.when(item.rlike(r"^\s*\[\s*[-0-9]"), F.from_json(item, "array<string>"))
+
+
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``df`` with a column that later expressions read, where a plain one would be worked out again in each of them."""
+    return df.withColumn(name, F.explode(F.array(value)))
 
 
 def flatten_measurements(df: DataFrame, payload: str = "payload", components=tuple(COMPONENT_IDS)) -> DataFrame:
@@ -50,15 +54,15 @@ def flatten_measurements(df: DataFrame, payload: str = "payload", components=tup
     listed = entries.filter(F.size("_slots") >= FIRST_COMPONENT_SLOT).select(
         "station_id", "_start", F.col("_slots")[0].alias("_end"), items.alias("_items")
     )
-    ids = F.transform("_items", _component_id)
+    parsed = _once(listed, F.transform("_items", _slots), "_parsed").drop("_items")
+    numbered = _once(parsed, F.transform("_parsed", lambda p: F.when(F.size(p) > 1, p[0].try_cast("double"))), "_ids")
     wanted = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.array_position(ids, F.lit(float(COMPONENT_IDS[name]))).alias("at"))
+        F.struct(F.lit(name).alias("name"), F.array_position("_ids", F.lit(float(COMPONENT_IDS[name]))).alias("at"))
         for name in components
     ])
-    found = listed.select("*", F.explode(F.filter(wanted, lambda c: c["at"] > 0)).alias("_c"))
-    # only the items that are wanted are parsed
-    item = F.from_json(F.get("_items", F.col("_c.at").cast("int") - 1), "array<string>")
-    rows = found.withColumn("_value", F.get(item, F.lit(1))).filter(F.col("_value").isNotNull())
+    found = numbered.select("*", F.explode(F.filter(wanted, lambda c: c["at"] > 0)).alias("_c"))
+    value = F.get(F.get("_parsed", F.col("_c.at").cast("int") - 1), F.lit(1))
+    rows = found.withColumn("_value", value).filter(F.col("_value").isNotNull())
     return rows.select(
         "station_id",
         F.col("_start").try_cast("timestamp_ntz").alias("datetime"),
