@@ -17,8 +17,8 @@ EARTH_RADIUS_KM = 6371.0088
 def standardize_city(df: DataFrame, dim_city: DataFrame | None = None, column: str = "city") -> DataFrame:
     """Set ``city_key`` from a city name in any known spelling.
 
-    Unknown names fall back to their trimmed lower-case form. The built-in alias table is
-    fixed; a caller's own dimension is broadcast only if it proves small.
+    Unknown names fall back to their trimmed lower-case form, and rows without a name keep the ``city_key`` they
+    have. The built-in alias table is fixed; a caller's own dimension is broadcast only if it proves small.
     """
     folded = F.lower(F.trim(F.col(column).cast("string")))
     if dim_city is None:
@@ -34,7 +34,8 @@ def standardize_city(df: DataFrame, dim_city: DataFrame | None = None, column: s
         )
     named = df.withColumn("_folded", folded)
     joined = named.join(spellings, F.col("_folded") == F.col("_spelling"), "left")
-    key = F.coalesce(F.col("_key"), F.col("_folded"))
+    own = [F.col("city_key")] if "city_key" in df.columns else []
+    key = F.coalesce(F.col("_key"), F.col("_folded"), *own)
     return joined.withColumn("city_key", key).drop("_folded", "_spelling", "_key")
 
 
