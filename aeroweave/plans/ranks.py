@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from aeroweave.plans.chunks import CHUNK
 from aeroweave.plans.shared import written
+from aeroweave.plans.small import broadcast_if_small
 
-#: A value that more than this share of its group has is hot: at most 1 / HOT_SHARE values of a group are.
+#: A value that more than this share of its group has, and so many rows, is hot: at most 1 / HOT_SHARE values of a group are.
 HOT_SHARE = 0.002
+HOT_ROWS = 10_000
 
 
 def average_ranks(counts: DataFrame, by, value: str, n: str = "n") -> DataFrame:
@@ -39,15 +41,16 @@ def average_ranks(counts: DataFrame, by, value: str, n: str = "n") -> DataFrame:
 def attach_by_value(rows: DataFrame, values: DataFrame, by, value: str, n: str = "n", total: str = "total") -> DataFrame:
     """Inner join of ``rows`` with one row per group and value, in which no value's rows meet in one task.
 
-    Hot values, of which a group has at most 1 / HOT_SHARE, are broadcast; rows of all other values are shuffled to them, and
-    each is a small share of its group.
+    Hot values, of which a group has at most 1 / HOT_SHARE, are broadcast if they are counted to be few (with very many groups
+    they may not be, and the join is left to adaptive execution); rows of all other values are shuffled to them, and each is a
+    small share of its group, or few rows.
     """
     by = list(by)
     on = [*by, value]
-    is_hot = F.col(n) > F.col(total) * HOT_SHARE
+    is_hot = (F.col(n) > F.col(total) * HOT_SHARE) & (F.col(n) > HOT_ROWS)
     kept = [c for c in values.columns if c not in on]
     hot = values.filter(is_hot).select(*on, F.struct(*kept).alias("_hot"))
-    marked = rows.join(F.broadcast(hot), on, "left")
+    marked = rows.join(broadcast_if_small(hot), on, "left")
     found = marked.filter("_hot is not null").select(*rows.columns, "_hot.*")
     others = marked.filter("_hot is null").drop("_hot").join(values.filter(~is_hot), on)
     return found.unionByName(others.select(*found.columns))

@@ -28,13 +28,12 @@ def histories(spark, values, step=timedelta(hours=1)):
 # Ranks
 
 @pytest.mark.parametrize("partitions", [1, 5])
-def test_ranks_with_ties_equal_pandas(spark, partitions, monkeypatch):
+def test_ranks_with_ties_equal_pandas(spark, partitions):
     rng = random.Random(1)
     rows = [(rng.choice("ab"), float(rng.choice([1, 2, 2.5, 7, -0.0, 0.0, rng.randrange(90)]))) for _ in range(400)] + [("a", 2.0)] * 300
     frame = pd.DataFrame(rows, columns=["g", "v"])
     want = frame.assign(r=frame.groupby("g")["v"].rank())
     counts = spark.createDataFrame(rows, "g string, v double").groupBy("g", "v").agg(F.count("*").alias("n"))
-    monkeypatch.setattr(spark, "_partitions", partitions, raising=False)
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
         got = {(r["g"], r["v"]): r["rank"] for r in ranks.average_ranks(counts, ["g"], "v").collect()}
@@ -43,7 +42,9 @@ def test_ranks_with_ties_equal_pandas(spark, partitions, monkeypatch):
     assert got == {(g, v): r for g, v, r in want.itertuples(index=False)}
 
 
-def test_spearman_equals_pandas_pair_by_pair(spark):
+@pytest.mark.parametrize("hot", [10_000, 20])
+def test_spearman_equals_pandas_pair_by_pair(spark, monkeypatch, hot):
+    monkeypatch.setattr(ranks, "HOT_ROWS", hot)
     rng = random.Random(2)
     rows = [tuple(None if rng.random() < gap else float(rng.randrange(span)) for gap, span in ((0.0, 9), (0.2, 50), (0.5, 4), (0.0, 1)))
             for _ in range(300)] + [(3.0, 7.0, 1.0, 0.0)] * 200 + [(float("nan"), 1.0, 2.0, 0.0)]
@@ -186,7 +187,7 @@ def simulated(n, p, d, q, seed):
     return w
 
 
-@pytest.mark.parametrize("order, target, ahead", [((1, 1, 1), 500_000, False), ((1, 1, 1), 60, True), ((0, 0, 2), 70, False), ((1, 2, 0), 500_000, True)])
+@pytest.mark.parametrize("order, target, ahead", [((1, 1, 1), 60, True), ((0, 0, 2), 500_000, False), ((1, 2, 0), 500_000, True)])
 def test_arima_equals_a_sequential_fit(spark, order, target, ahead):
     x = simulated(220, *order, seed=sum(order))
     df = histories(spark, {"a": x})

@@ -149,7 +149,7 @@ def test_registry_is_complete():
 
 
 LIGHT = ["gold_air_quality_levels", "dedupe_keep_first", "fill_forward_back", "rolling_7d", "lag_features", "correlation_matrix",
-         "pearson_tests", "summary_statistics_by_city", "flatten_measurements", "merge_outer", "to_local_time", "temporal_gaps"]
+         "pearson_tests", "summary_statistics_by_city", "flatten_measurements", "spearman_with_gaps", "kpss_test", "group_tests", "merge_outer", "to_local_time", "temporal_gaps"]
 
 
 @pytest.mark.parametrize("name", LIGHT)
