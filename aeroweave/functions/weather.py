@@ -23,6 +23,9 @@ CHILL_CONSTANT, CHILL_TEMPERATURE, CHILL_WIND, CHILL_BOTH, CHILL_EXPONENT = 13.1
 CHILL_BELOW_CELSIUS, CHILL_ABOVE_MS = 10, 1.33
 
 RAIN_THRESHOLD_MM = 0.5
+
+# Directions of the wind, clockwise from north
+OCTANTS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 KMH_PER_MS = 3.6
 
 
@@ -64,3 +67,9 @@ def is_rainy(precipitation: Column) -> Column:
 
 def kmh_to_ms(speed: Column) -> Column:
     return speed / F.lit(KMH_PER_MS)
+
+
+def wind_octant(direction: Column) -> Column:
+    """Which of eight directions the wind comes from, N for 337.5 up to 22.5 degrees; any turn counts, null stays null."""
+    at = F.pmod(F.floor((direction + F.lit(22.5)) / F.lit(45.0)), F.lit(8)).cast("int")
+    return F.get(F.array(*[F.lit(name) for name in OCTANTS]), at)

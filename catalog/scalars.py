@@ -79,6 +79,10 @@ def _traffic_holiday_run(t):
 
 
 ENTRIES: dict[str, Entry] = {
+    "wind_octant": entry(
+        lambda t: t.feed("bronze_weather").select("_seq", weather.wind_octant(F.col("wind_direction") * 2.5 - 100.0).alias("octant")),
+        """select _seq, ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][1 + ((floor((wind_direction * 2.5 - 100 + 22.5) / 45)::integer % 8 + 8) % 8)]
+            as octant from bronze_weather""", "bronze_weather"),
     "calendar_parts": entry(
         _stamps(lambda: calendar.calendar_parts(F.col("ts"))),
         """select id, cast(year(ts) as integer) as year, cast(month(ts) as integer) as month,
