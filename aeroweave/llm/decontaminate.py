@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroweave.llm.shared import arrow_schema, record_batch
+from aeroweave.llm.shared import arrow_schema, record_batch, sliced
 
 #: Characters of a gram; eight single bytes are one number.
 GRAM = 8
@@ -172,7 +172,7 @@ def find_leaks(
 
         def scan(parts: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             schema = arrow_schema(_SCHEMA)
-            for part in parts:
+            for part in sliced(parts):
                 pairs = zip(part.column(0).to_pylist(), part.column(1).to_pylist())
                 yield record_batch([(i, *m) for i, t in pairs for m in held.value.matches(t)], schema)
 
@@ -190,7 +190,7 @@ def drop_leaks(
         held = docs.sparkSession.sparkContext.broadcast(Items(rows))
 
         def clean(parts: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for part in parts:
+            for part in sliced(parts):
                 keep = [not held.value.matches(t) for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array(keep, pa.bool_()))
 

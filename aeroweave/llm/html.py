@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroweave.llm.shared import arrow_schema, record_batch
+from aeroweave.llm.shared import arrow_schema, record_batch, sliced
 
 #: Lines that one block sums up.
 BLOCK_LINES = 3
@@ -222,7 +222,7 @@ def main_text(html: str) -> str:
 
 def _extract(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(_SCHEMA)
-    for part in parts:
+    for part in sliced(parts):
         texts = [main_text(html or "") for html in part.column(2).to_pylist()]
         yield record_batch(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts, map(len, texts)), schema)
 
@@ -233,7 +233,7 @@ def extract_text(
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row of ``pages``; whole pages, no shuffle.
 
     A null or empty page, or one without article text, has the empty text. Null ids and URLs pass through, repeated rows
-    repeat, other columns are left out.
+    repeat, other columns are left out. Pages may be of any length; an empty table gives no rows.
     """
     return pages.select(
         F.col(id_column).cast("long"), F.col(url_column).cast("string"), F.col(html_column).cast("string")

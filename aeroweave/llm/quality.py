@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aeroweave.llm.shared import arrow_schema, broadcast_if_small, record_batch, written
+from aeroweave.llm.shared import arrow_schema, broadcast_if_small, record_batch, sliced, written
 
 WINDOW = 5
 MIN_WORDS = 10
@@ -68,7 +68,7 @@ def text_counts(text: str) -> tuple:
 
 def _features(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = arrow_schema(_SCHEMA)
-    for part in parts:
+    for part in sliced(parts):
         rows = []
         for row, doc_id, text, host in zip(*(part.column(i).to_pylist() for i in range(4))):
             text = text or ""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,6 +76,17 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(name, _ARROW[kind]) for name, kind in (re.split(r" +", part.strip()) for part in ddl.split(","))])
 
 
+#: Rows whose texts a task turns into Python objects at a time.
+SLICE_ROWS = 512
+
+
+def sliced(parts: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Batches cut into slices of few rows, without a copy: what a task holds as Python objects stays small."""
+    for part in parts:
+        for start in range(0, part.num_rows, rows):
+            yield part.slice(start, rows)
+
+
 def record_batch(rows: Iterable[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aeroweave.llm.components import components
-from aeroweave.llm.shared import arrow_schema, text_or_empty, written
+from aeroweave.llm.shared import arrow_schema, sliced, text_or_empty, written
 
 WORDS = 3
 HASH_SEED = 42
@@ -42,7 +42,7 @@ def fingerprint(text: str, width: int = WORDS) -> int:
 def _fingerprints(width: int):
     def fingerprints(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema(_SCHEMA)
-        for part in parts:
+        for part in sliced(parts):
             found = np.array([fingerprint(text, width) for text in part.column(2).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found)], schema=schema)
     return fingerprints
