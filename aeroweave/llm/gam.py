@@ -195,7 +195,8 @@ def score_quality(
     written once to the shared folder, and learning and scoring read them there. The fit sees at most ``max_rows`` labelled
     rows on the driver (those with a small hash of the id, a bounded matrix), scoring adds table entries
     per batch. Null texts count as empty; rows with a null id are scored but not learnt from; of several labels of an id the
-    mean counts; null labels are none. Without labels every score is 0.5.
+    mean counts; null labels are none. Without labels every score is 0.5. Repeated rows and equal texts get equal scores; an empty table
+    gives no rows.
     """
     features = written(docs.select(
         F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("string").alias("t")).mapInArrow(_features, _SCHEMA), "features")

@@ -54,7 +54,8 @@ def dedup_lines(
     Every occurrence of such a line goes but the first in the document with the smallest id, so one instance of a
     shared text stays in the corpus. Lines are compared trimmed and lower-cased; lines without a word are never
     boilerplate. A null site counts as one site, a null text stays null, a null id comes after all others. Rows that
-    repeat (same id and text) get the same result. All columns are kept; ``__n_lines`` and ``__n_removed`` are added.
+    repeat (same id and text) get the same result. All columns are kept; ``__n_lines`` and ``__n_removed`` are added, and the names
+    ``__doc``, ``__hash`` and ``__gone`` are taken. Texts may be of any length; an empty table gives no rows.
 
     Only the positions of boilerplate lines are gathered per document (a row of the input holds them all), and they
     are joined back by id and text hash; hot lines are pre-aggregated in each task.

@@ -348,6 +348,7 @@ def dedup_substrings(docs: DataFrame, id_column: str = "doc_id", text_column: st
     Returns id, n_bytes, n_removed, n_spans (runs removed), kept_sha256 and the remaining bytes ``kept`` for every row. Texts are
     UTF-8 bytes, null is empty; strings are judged on the input. Earlier means a smaller id, or the same document and
     an earlier start. A text of under LENGTH bytes has nothing to remove. Null and repeated ids: see :func:`number_documents`.
+    Equal texts are repeats of each other, the first one stays whole. Texts may be of any length; an empty table gives no rows.
     """
     numbered = number_documents(docs, id_column, text_column)
     once = numbered.dropDuplicates(["doc"]) if "key" in numbered.columns else numbered
