@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeroweave.llm.shared import arrow_schema, broadcast_if_small, text_or_empty, written
+from aeroweave.llm.shared import arrow_schema, broadcast_if_small, discard, text_or_empty, written
 
 #: A term must be in so many documents of its language.
 MIN_DOCS = 30
@@ -244,6 +244,7 @@ def audit_sources(
         used.join(of_group, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s"))).select(
             "lang", "source", "term", share(F.col("n"), F.col("total"), F.col("terms")).alias("p"),
             share(F.col("lang_n"), F.col("lang_total"), F.col("terms")).alias("q")), "shares")
+    discard(counts, kept, used)
     best = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     terms = shares.filter("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value")).withColumn(
         "rank", F.row_number().over(best)).filter(F.col("rank") <= listed)
