@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from math import ceil
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
