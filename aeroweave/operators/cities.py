@@ -101,18 +101,19 @@ def nearest_station(
 ) -> DataFrame:
     """city_key, station_id, distance_km of the closest station; the lower id wins a tie.
 
-    Each station is held against the fixed city list, and only the best one per city and
-    task leaves the task.
+    Each station is held against the fixed city list by one minimum per city over the whole table. Without a
+    grouping key these need no sort (a minimum of structs by key would sort a row per station and city), so a
+    task holds its best station of each city and hands on one row.
     """
-    against = stations.select(
-        F.col(station_id).alias("station_id"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"),
-        F.explode(_city_structs(cities)).alias("_city"),
-    )
-    distance = haversine_km(F.col("_city.lat"), F.col("_city.lon"), F.col("_lat"), F.col("_lon"))
-    best = against.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull()).groupBy(
-        F.col("_city.city_key").alias("city_key")
-    ).agg(F.min(F.struct(distance.alias("distance_km"), "station_id")).alias("_best"))
-    return best.select("city_key", "_best.station_id", "_best.distance_km")
+    place = stations.select(F.col(station_id).alias("station_id"), F.col(lat).alias("_lat"), F.col(lon).alias("_lon"))
+    known = place.filter(F.col("_lat").isNotNull() & F.col("_lon").isNotNull())
+    distances = [haversine_km(F.lit(c.lat), F.lit(c.lon), F.col("_lat"), F.col("_lon")) for c in cities]
+    best = known.agg(*[
+        F.min(F.struct(d.alias("distance_km"), "station_id")).alias(f"_best{i}") for i, d in enumerate(distances)])
+    listed = F.array(*[
+        F.struct(F.lit(c.city_key).alias("city_key"), F.col(f"_best{i}").alias("best")) for i, c in enumerate(cities)])
+    near = best.select(F.explode(listed).alias("_near")).select("_near.*").filter(F.col("best").isNotNull())
+    return near.select("city_key", "best.station_id", "best.distance_km")
 
 
 def _shared(feeds, column: str) -> DataFrame:

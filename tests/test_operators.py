@@ -39,6 +39,18 @@ def test_nearest_station(spark):
     assert near["berlin"] == 1 and near["munich"] == 3 and len(near) == 79
 
 
+def test_nearest_station_sorts_no_pairs(spark):
+    df = spark.createDataFrame([(2, 52.5, 13.4), (1, 52.5, 13.4), (3, float("nan"), 11.6)], "station_id int, lat double, lon double")
+    found = cities.nearest_station(df)
+    assert {r["station_id"] for r in found.collect()} == {1}
+    assert cities.nearest_station(df.filter("lat is null")).collect() == []
+    assert "Sort " not in df_plan(found)
+
+
+def df_plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def feed(table, name, cells):
     return table([(c, f"2024-01-01 0{h}:00:00", v) for c, h, v in cells], f"city_key string, datetime timestamp_ntz, {name} double")
 
