@@ -45,17 +45,6 @@ def attach_city(df: DataFrame, dim_city: DataFrame, cols=("name", "lat", "lon"))
     return df.join(broadcast_if_small(attributes), "city_key", "left")
 
 
-def _city_structs(cities) -> Column:
-    return F.array(*[
-        F.struct(
-            F.lit(c.city_key).alias("city_key"), F.lit(c.name).alias("name"),
-            F.lit(c.official_name).alias("official_name"),
-            F.lit(c.lat).alias("lat"), F.lit(c.lon).alias("lon"),
-        )
-        for c in cities
-    ])
-
-
 def city_table(spark: SparkSession, cities=CITIES) -> DataFrame:
     """The city list as a table."""
     return spark.createDataFrame(
@@ -67,17 +56,17 @@ def match_station_city(stations: DataFrame, cities=CITIES, column: str = "city")
     """One row per station and city it belongs to, adding ``city_key``.
 
     A city matches when its name occurs in the station's city, or the other way round, or
-    when its official name occurs in it; case does not matter. The fixed city list is
-    checked inside each row, so nothing is shuffled or joined.
+    when its official name occurs in it; case does not matter. Each row is held against the fixed city list, so
+    nothing is shuffled or joined. The list is a literal whose names the planner folds, a station's city is folded once, and
+    the comparison is a compiled loop; a lambda over an array would be interpreted for every row and city.
     """
-    place = F.lower(F.col(column))
-
-    def belongs(city: Column) -> Column:
-        name = F.lower(city["name"])
-        return place.contains(name) | name.contains(place) | place.contains(F.lower(city["official_name"]))
-
-    matches = F.filter(_city_structs(cities), belongs)
-    return stations.withColumn("city_key", F.explode(F.transform(matches, lambda c: c["city_key"])))
+    listed = F.array(*[
+        F.struct(F.lit(c.city_key).alias("key"), F.lower(F.lit(c.name)).alias("name"),
+                 F.lower(F.lit(c.official_name)).alias("official")) for c in cities])
+    against = stations.withColumn("_place", F.lower(F.col(column))).withColumn("_city", F.explode(listed))
+    place, name = F.col("_place"), F.col("_city.name")
+    belongs = place.contains(name) | name.contains(place) | place.contains(F.col("_city.official"))
+    return against.filter(belongs).withColumn("city_key", F.col("_city.key")).drop("_place", "_city")
 
 
 def first_station(df: DataFrame, order: str = "station_id", key: str = "city_key") -> DataFrame:

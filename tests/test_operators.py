@@ -47,6 +47,17 @@ def test_nearest_station_sorts_no_pairs(spark):
     assert "Sort " not in df_plan(found)
 
 
+def test_stations_are_matched_without_lambdas(spark):
+    df = spark.createDataFrame([(2, "BERLIN"), (1, "Berlin-Mitte"), (3, "")], "station_id int, city string")
+    matched = cities.match_station_city(df)
+    assert matched.columns == ["station_id", "city", "city_key"]
+    assert matched.filter("station_id = 3").count() == 79  # every name holds the empty one
+    assert "lambda" not in df_plan(matched)
+    first = cities.first_station(matched.filter("station_id < 3"))
+    assert rows(first, "city_key", "station_id") == [("berlin", 1)]
+    assert "lambda" not in df_plan(first)
+
+
 def df_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
