@@ -1,5 +1,6 @@
 import hashlib
 import random
+from pathlib import Path
 
 import pytest
 
@@ -81,3 +82,18 @@ def test_groups_hold_all_occurrences(spark):
     for r in repeats.find_repeats(df).collect():
         groups.setdefault((r.gram, r.number), []).append((r.doc, r.first))
     assert groups and all(sorted(g) == [(1, True), (2, False), (3, False)] for g in groups.values())
+
+
+def test_steps_leave_no_contexts_and_no_shuffles(spark, documents, monkeypatch):
+    settings, tables, write = [spark.conf.get(name) for name in repeats._SPARING], {}, repeats.written
+    monkeypatch.setattr(repeats, "written", lambda df, label: tables.setdefault(label, write(df, label)))
+    passage = "a passage of well over a hundred bytes that many documents hold, with words enough around every gram, and so on " * 2
+    rows = [(i, f"{i} {passage}" if i % 4 else passage) for i in range(60)]
+    found = repeats.dedup_substrings(documents([(i, t, "s") for i, t in rows]).repartition(8), array_rows=4).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == slow(rows)
+    assert set(tables) == {"grams", "contexts", "repeats"}
+    assert not Path(tables["contexts"]._llm_path.removeprefix("file:")).exists()
+    assert [spark.conf.get(name) for name in repeats._SPARING] == settings
+    assert tables["grams"].filter("n > 4").count() > 0
+    kept = tables["repeats"].filter("right is not null").count()
+    assert 0 < kept < tables["repeats"].count() / 2  # a task hands on one of equal contexts
