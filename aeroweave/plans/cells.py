@@ -119,30 +119,6 @@ def near_leaves(places: DataFrame, tree: Cells, k: int) -> DataFrame:
     return frontier.select(*places.columns, "level", "cell")
 
 
-def weight_within(places: DataFrame, tree: Cells, radius: float, enough: int, limit: float) -> DataFrame:
-    """place and weight: rows within ``radius`` of each place, itself included, counted exactly below ``enough``.
-
-    ``places`` have ``place``, which the tree's cells are in the unit of, and ``asks``; points have ``own``. Where cells do not decide, points
-    count whose ``own`` is within ``limit`` of ``asks``, so that no rounding of the tree's unit matters. Cells wholly inside are added without a look at their points, cells outside are left, and a place that has enough is done.
-    """
-    square = radius * radius
-    frontier, sure = _start(places.select("place", "asks"), tree), []
-    for level in range(len(tree.levels)):
-        if level:
-            frontier = _deeper(frontier, tree, level)
-        measured = written(frontier.withColumns({
-            "near": _by_level(frontier, level, least_distance), "far": _by_level(frontier, level, most_distance)}), "frontier")
-        inside = F.col("far") <= square * (1 - SLACK)
-        sure.append(measured.filter(inside).groupBy("place").agg(F.sum("n").alias("weight")))
-        done = reduce(DataFrame.unionByName, sure).groupBy("place").agg(F.sum("weight").alias("weight")).filter(F.col("weight") >= enough)
-        left = measured.filter(~inside & (F.col("near") <= square * (1 + SLACK))).select(*frontier.columns)
-        frontier = left.join(done.select("place"), "place", "left_anti")
-    pairs = frontier.select("place", "asks", "level", "cell").join(
-        tree.points.select("level", "cell", "own", F.col("n").alias("weight")), ["level", "cell"])
-    exact = pairs.filter(_squared(F.zip_with("asks", "own", lambda a, b: a - b)) <= limit * limit).groupBy("place").agg(F.sum("weight").alias("weight"))
-    return reduce(DataFrame.unionByName, [*sure, exact]).groupBy("place").agg(F.sum("weight").alias("weight"))
-
-
 def forget(tree: Cells) -> None:
     """Delete the tree's tables of cells."""
     discard(*tree.levels)

@@ -492,6 +492,33 @@ def test_density_clusters_equal_brute_force(spark, monkeypatch, direct):
     assert clusters.density_clusters(df.limit(0), ["x", "y"], 1.0).collect() == []
 
 
+@pytest.mark.parametrize("base", [0, 1])
+def test_density_clusters_look_into_undecided_parts(spark, monkeypatch, base):
+    monkeypatch.setattr(clusters, "BASE", base)
+    monkeypatch.setattr(clusters, "DIRECT_POINTS", 2)
+    rng = random.Random(13)
+    clump = lambda start, x, y: [(start + i, x + rng.gauss(0, 0.12), y + rng.gauss(0, 0.12)) for i in range(40)]
+    rows = clump(0, 0.3, 0.3) + clump(100, 1.75, 0.3) + clump(200, -0.2, -3.1) + clump(300, 1.25, -3.1)
+    rows += [(400 + i, rng.uniform(-2, 4), rng.uniform(-5, 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "event_id long, x double, y double")
+    got = {r["event_id"]: (r["cluster"], r["cluster_role"]) for r in clusters.density_clusters(df, ["x", "y"], 1.0, 12).collect()}
+    assert got == slow_clusters(rows, 1.0, 12)
+    assert {role for _, role in got.values()} == {"core", "border", "noise"}
+
+
+def test_density_clusters_hold_points_once(spark, monkeypatch):
+    sizes, write = {}, clusters.written
+    def counting(df, label):
+        table = write(df, label)
+        sizes[len(sizes), label] = table.count()
+        return table
+    monkeypatch.setattr(clusters, "written", counting)
+    df = spark.range(6000).selectExpr("id as event_id", "id * 0.002 as x", "id * 0.0005 as y")
+    got = clusters.density_clusters(df, ["x", "y"], 1.0).groupBy("cluster", "cluster_role").count().collect()
+    assert [tuple(r) for r in got] == [(0, "core", 6000)]
+    assert len([n for n in sizes.values() if n >= 1000]) == 1, sizes
+
+
 def test_components_of_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7), (300, 301)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
